@@ -1,8 +1,8 @@
 """Queries over the given tables and the SQL that says the same."""
 
-from storelens.catalog import merchandising
+from storelens.catalog import maintenance, merchandising, segments
 from storelens.catalog.registry import Catalog
 
 CATALOG = Catalog()
-for _module in (merchandising,):
+for _module in (merchandising, segments, maintenance):
     _module.register(CATALOG)

@@ -118,7 +118,7 @@ VIEWS: dict[str, str] = {
         union all
         select p_partkey * 2 + 1 as row_no,
                concat('PAR-', cast(cast(floor(p_partkey / 4.0) as bigint) as string)) as sku_parent,
-               case p_partkey % 4 when 0 then 'S' when 1 then 'M' when 2 then 'LXL' else 'OSFM' end as size_abbreviation,
+               case p_partkey % 4 when 0 then 'S' when 1 then 'M' when 2 then 'L' else 'OSFM' end as size_abbreviation,
                concat('SKU-', cast(p_partkey as string), '-B') as sku,
                concat('9', cast(p_partkey as string)) as upc, 'CORE' as collection, '' as season,
                'ACTIVE' as faho24_status
@@ -165,7 +165,8 @@ VIEWS: dict[str, str] = {
                case l_partkey % 9 when 0 then concat('1,', cast(100 + l_partkey % 900 as string)) when 1 then concat(cast(l_linenumber as string), '%') when 2 then concat('-', cast(l_linenumber as string), '.9') when 3 then '1e3' when 4 then 'x' when 5 then '1d' when 6 then 'N/A' when 7 then concat(' ', cast(l_partkey as string), ' ') else 'nan' end as int_cell,
                case l_partkey % 6 when 0 then concat('$1,', cast(100 + l_partkey % 900 as string), '.50') when 1 then 'n/a' when 2 then concat('.', cast(l_linenumber as string)) when 3 then '1_000' when 4 then null else concat('-$', cast(l_partkey as string)) end as float_cell,
                case l_partkey % 5 when 0 then concat(cast(l_linenumber as string), '2.5%') when 1 then '0.05' when 2 then 'None' when 3 then '12,5%' else concat(' ', cast(l_linenumber as string), ' % ') end as percent_cell,
-               case l_partkey % 6 when 0 then cast(cast(l_shipdate as date) as string) when 1 then concat(cast(cast(l_shipdate as date) as string), ' 13:45:10') when 2 then concat(cast(month(l_shipdate) as string), '/', cast(day(l_shipdate) as string), '/', cast(year(l_shipdate) as string)) when 3 then 'soon' when 4 then 'NULL' else concat(cast(cast(l_shipdate as date) as string), 'T08:30:00') end as datetime_cell
+               case l_partkey % 6 when 0 then cast(cast(l_shipdate as date) as string) when 1 then concat(cast(cast(l_shipdate as date) as string), ' 13:45:10') when 2 then concat(cast(month(l_shipdate) as string), '/', cast(day(l_shipdate) as string), '/', cast(year(l_shipdate) as string)) when 3 then 'soon' when 4 then 'NULL' else concat(cast(cast(l_shipdate as date) as string), 'T08:30:00') end as datetime_cell,
+               case l_partkey % 11 when 0 then 'ASAP' when 1 then ' asap ' when 2 then concat(cast(month(l_shipdate) as string), '/', cast(day(l_shipdate) as string)) when 3 then concat(cast(month(l_shipdate) as string), '-', cast(day(l_shipdate) as string), '-0', cast(l_linenumber as string)) when 4 then concat('by ', cast(month(l_shipdate) as string), '/', cast(day(l_shipdate) as string), '/', cast(year(l_shipdate) as string), ' please') when 5 then '2/30' when 6 then concat(cast(month(l_shipdate) as string), '/', cast(day(l_shipdate) + 9 as string), ' apparel') when 7 then 'soon' when 8 then '13/5' when 9 then concat(cast(month(l_shipdate) as string), '/', cast(day(l_shipdate) as string), '/7', cast(l_linenumber as string)) else '' end as ship_cell
         from {lineitem}""",
 }
 

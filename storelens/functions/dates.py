@@ -12,19 +12,13 @@ from storelens.functions.text import nonempty
 
 MONDAY, THURSDAY, FRIDAY = 0, 3, 4
 
-# Federal holidays on a fixed day as (month, day, first year).
-FIXED_HOLIDAYS = ((1, 1, 1), (6, 19, 2021), (7, 4, 1), (11, 11, 1), (12, 25, 1))
-
-# Federal holidays on a weekday of a month as
-# (month, weekday, earliest day, latest day, first year).
-WEEKDAY_HOLIDAYS = (
-    (1, MONDAY, 15, 21, 1986),
-    (2, MONDAY, 15, 21, 1),
-    (5, MONDAY, 25, 31, 1),
-    (9, MONDAY, 1, 7, 1),
-    (10, MONDAY, 8, 14, 1),
-    (11, THURSDAY, 22, 28, 1),
-)
+# Federal holidays on a fixed day, as (month, day).
+FIXED_HOLIDAYS = ((1, 1), (7, 4), (11, 11), (12, 25))
+JUNETEENTH, JUNETEENTH_SINCE = (6, 19), 2021
+
+# Federal holidays on a weekday, as month and range of days.
+MONDAY_HOLIDAYS = ((1, 15, 21), (2, 15, 21), (5, 25, 31), (9, 1, 7), (10, 8, 14))
+THANKSGIVING = (11, 22, 28)
 
 # How a date is written somewhere in a ship-date cell, and the
 # word that asks for the earliest date.
@@ -48,40 +42,44 @@ def extract_since(as_of: datetime, days: int) -> datetime:
     return datetime.combine((as_of - timedelta(days=days)).date(), datetime.min.time())
 
 
-def _is_fixed_holiday(day: Column) -> Column:
-    month, dom, year = F.month(day), F.dayofmonth(day), F.year(day)
-    hits = F.lit(False)
-    for m, d, since in FIXED_HOLIDAYS:
-        hits = hits | ((month == m) & (dom == d) & (year >= since))
-    return hits
+def _near(days: tuple[tuple[int, int], ...], shift: int) -> list[int]:
+    """Month-day numbers of the given days moved by ``shift`` days."""
+    moved = [datetime(2001, m, d) + timedelta(days=shift) for m, d in days]
+    return [day.month * 100 + day.day for day in moved]
 
 
 def is_us_holiday(c: Column, years: tuple[int, int] | None = None) -> Column:
     """Whether a date is a federal holiday or the workday it is observed on.
 
-    ``years`` limits the calendar to an inclusive range; by default it covers
-    every year of the data.
+    A fixed holiday on a Saturday is observed the Friday before, one on a
+    Sunday the Monday after. ``years`` limits the calendar to an inclusive
+    range; by default it covers every year of the data.
     """
-    day = c.cast("date")
-    month, dom, weekday = F.month(day), F.dayofmonth(day), F.weekday(day)
+    month_day = F.month(c) * 100 + F.dayofmonth(c)
+    weekday = F.weekday(c)
+
+    def fixed(days: tuple[tuple[int, int], ...]) -> Column:
+        return (
+            month_day.isin(_near(days, 0))
+            | ((weekday == FRIDAY) & month_day.isin(_near(days, -1)))
+            | ((weekday == MONDAY) & month_day.isin(_near(days, 1)))
+        )
+
+    mondays = [m * 100 + d for m, first, last in MONDAY_HOLIDAYS for d in range(first, last + 1)]
+    month, first, last = THANKSGIVING
     found = (
-        _is_fixed_holiday(day)
-        | ((weekday == FRIDAY) & _is_fixed_holiday(F.date_add(day, 1)))
-        | ((weekday == MONDAY) & _is_fixed_holiday(F.date_sub(day, 1)))
+        fixed(FIXED_HOLIDAYS)
+        | (fixed((JUNETEENTH,)) & (F.year(c) >= JUNETEENTH_SINCE))
+        | ((weekday == MONDAY) & month_day.isin(mondays))
+        | ((weekday == THURSDAY) & month_day.between(month * 100 + first, month * 100 + last))
     )
-    for m, wd, first, last, since in WEEKDAY_HOLIDAYS:
-        found = found | (
-            (month == m) & (weekday == wd) & dom.between(first, last) & (F.year(day) >= since)
-        )
-    if years:
-        found = found & F.year(day).between(*years)
-    return found
+    return found & F.year(c).between(*years) if years else found
 
 
 def day_type(c: Column, years: tuple[int, int] | None = None) -> Column:
     """``holiday`` on weekends and federal holidays, else ``workday``; null stays null."""
     off = (F.weekday(c) >= 5) | is_us_holiday(c, years)
-    return F.when(off, "holiday").when(~off, "workday")
+    return F.when(c.isNull(), None).when(off, "holiday").otherwise("workday")
 
 
 def ship_date(c: Column, as_of: datetime) -> Column:

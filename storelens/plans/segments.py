@@ -60,14 +60,15 @@ def customer_median_hours(order_features: DataFrame) -> DataFrame:
     def median_of(kind: str) -> Column:
         return F.median(F.when(F.col("day_type") == kind, F.col("hour")))
 
-    return (
-        order_features.filter(F.col("customer_id").isNotNull() & F.col("day_type").isNotNull())
+    hours = (
+        order_features.filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(
             median_of("holiday").alias("holiday_send_hour"),
             median_of("workday").alias("workday_send_hour"),
         )
     )
+    return hours.dropna("all", subset=list(SEND_HOURS))
 
 
 def customer_features(customers: DataFrame, order_features: DataFrame) -> DataFrame:
