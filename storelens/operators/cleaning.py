@@ -37,14 +37,16 @@ def normalize_headers(df: DataFrame) -> DataFrame:
     return _rename(df, map(clean_header, df.columns))
 
 
-def process_table(df: DataFrame, table: str) -> DataFrame:
+def process_table(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Clean headers, keep the declared columns in declared order, cast them.
 
     Declared columns that are absent are skipped. Columns that already have
     the right timestamp type pass unchanged; everything else is read as text.
+    ``keep`` names columns of the pull itself, such as the collection a page
+    belongs to, that go along unchanged.
     """
     df = normalize_headers(df)
-    columns = []
+    columns = [F.col(name) for name in keep]
     for name, kind in schemas.TABLES[table].items():
         if name not in df.columns:
             continue

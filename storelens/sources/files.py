@@ -13,9 +13,27 @@ from storelens.operators.cleaning import process_table
 # Fixed value: how the product master file is encoded.
 MASTER_ENCODING = "ISO-8859-1"
 
-# The byte-order mark, and the bytes windows-1252 leaves undefined.
+# Fixed value: the byte-order mark.
 BOM = "\ufeff"
-UNDEFINED_IN_CP1252 = ("81", "8D", "8F", "90", "9D")
+
+UTF_8, WINDOWS_1252, LATIN_1 = "UTF-8", "windows-1252", "ISO-8859-1"
+
+
+def _windows_characters() -> dict[str, str]:
+    """Characters windows-1252 has where latin-1 has control characters."""
+    pairs = {}
+    for code in range(0x80, 0xA0):
+        try:
+            pairs[chr(code)] = bytes([code]).decode("cp1252")
+        except UnicodeDecodeError:
+            continue
+    return pairs
+
+
+WINDOWS_CHARACTERS = _windows_characters()
+UNDEFINED_IN_WINDOWS = [
+    f"{code:02X}" for code in range(0x80, 0xA0) if chr(code) not in WINDOWS_CHARACTERS
+]
 
 
 def file_name() -> Column:
@@ -34,14 +52,26 @@ def _hex_pairs(content: Column) -> Column:
 
 def encoding_of(content: Column) -> Column:
     """First of utf-8, windows-1252 and latin-1 that can decode the bytes."""
-    undefined = rf"(^| )({'|'.join(UNDEFINED_IN_CP1252)}) "
+    undefined = rf"(^| )({'|'.join(UNDEFINED_IN_WINDOWS)}) "
     return (
-        F.when(F.is_valid_utf8(content.cast("string")), "UTF-8")
-        .when(~_hex_pairs(content).rlike(undefined), "windows-1252")
-        .otherwise("ISO-8859-1")
+        F.when(F.is_valid_utf8(content.cast("string")), UTF_8)
+        .when(~_hex_pairs(content).rlike(undefined), WINDOWS_1252)
+        .otherwise(LATIN_1)
     )
 
 
+def _reading_options(encoding: str) -> dict:
+    charset = UTF_8 if encoding == UTF_8 else LATIN_1
+    return {"header": True, "encoding": charset, "multiLine": True, "escape": '"'}
+
+
+def _decoded(c: Column, encoding: str) -> Column:
+    """Windows texts are read as latin-1; put in the characters that differ."""
+    if encoding != WINDOWS_1252:
+        return c
+    return F.translate(c, "".join(WINDOWS_CHARACTERS), "".join(WINDOWS_CHARACTERS.values()))
+
+
 def csv_encodings(spark: SparkSession, path: str) -> DataFrame:
     """Encoding of every file of a folder."""
     files = spark.read.format("binaryFile").load(path)
@@ -66,18 +96,19 @@ def read_text_csvs(spark: SparkSession, path: str) -> DataFrame:
     if not present:
         raise FileNotFoundError(f"no CSV files in {path}")
 
-    def options(encoding: str) -> dict:
-        return {"header": True, "encoding": encoding, "multiLine": True, "escape": '"'}
-
-    headers = [h.lstrip(BOM) for h in spark.read.csv(path, **options(present[0])).columns]
+    first = spark.read.csv(path, **_reading_options(UTF_8 if UTF_8 in present else LATIN_1))
+    headers = [h.lstrip(BOM) for h in first.columns]
     schema = T.StructType([T.StructField(h, T.StringType(), True) for h in headers])
     parts = []
     for encoding in present:
-        rows = spark.read.csv(path, schema=schema, **options(encoding)).select(
+        rows = spark.read.csv(path, schema=schema, **_reading_options(encoding)).select(
             file_name(),
             F.monotonically_increasing_id().alias("row_no"),
             F.col("_metadata.file_path").alias("file_path"),
-            *[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(h) for h in headers],
+            *[
+                F.coalesce(_decoded(F.col(f"`{h}`"), encoding), F.lit("")).alias(h)
+                for h in headers
+            ],
         )
         if len(present) > 1:
             own = encodings.filter(F.col("encoding") == encoding)
@@ -99,6 +130,10 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
     writer.parquet(path)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def register(spark: SparkSession, name: str, path: str) -> None:
     """Make a stored table known to SQL under a name, if it is not known yet."""
     if not spark.catalog.tableExists(name):

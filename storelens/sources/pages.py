@@ -10,16 +10,17 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelens.functions.casts import to_datetime
 from storelens.functions.dates import ts
 from storelens.operators.cleaning import process_table
 from storelens.operators.ordering import keep_first, running_position
 
 SEGMENT_PAGE = (
     "struct<data: array<struct<id: string, attributes: "
-    "struct<name: string, created: timestamp_ntz, updated: timestamp_ntz>>>>"
+    "struct<name: string, created: string, updated: string>>>>"
 )
 PROFILE_PAGE = (
-    "struct<data: array<struct<id: string, joined_group_at: timestamp_ntz, "
+    "struct<data: array<struct<id: string, joined_group_at: string, "
     "attributes: struct<email: string>>>>"
 )
 SEARCH_PAGE = (
@@ -49,11 +50,11 @@ def segments_from_pages(
     attributes = F.col("item.attributes")
     bounds: list[Column] = []
     if created_after is not None:
-        bounds.append(attributes["created"] > ts(created_after))
+        bounds.append(to_datetime(attributes["created"]) > ts(created_after))
     if created_before is not None:
-        bounds.append(attributes["created"] < ts(created_before))
+        bounds.append(to_datetime(attributes["created"]) < ts(created_before))
     if updated_after is not None:
-        bounds.append(attributes["updated"] > ts(updated_after))
+        bounds.append(to_datetime(attributes["updated"]) > ts(updated_after))
     for bound in bounds:
         items = items.filter(bound)
     found = items.select(
@@ -65,7 +66,7 @@ def segments_from_pages(
 def _profile_items(pages: DataFrame, joined_after: datetime | None) -> DataFrame:
     items = _items(pages, PROFILE_PAGE, "data", "segment_id")
     if joined_after is not None:
-        items = items.filter(F.col("item.joined_group_at") > ts(joined_after))
+        items = items.filter(to_datetime(F.col("item.joined_group_at")) > ts(joined_after))
     return items
 
 
@@ -109,5 +110,4 @@ def collection_positions(pages: DataFrame) -> DataFrame:
         F.col("item.msrp").alias("compare_at_price"),
         F.col("item.ss_available").alias("available"),
     )
-    cleaned = process_table(found.withColumn("position", F.col("position").cast("string")), "searchspring_collection")
-    return cleaned
+    return process_table(found, "searchspring_collection", keep=("collection",))
