@@ -9,11 +9,13 @@ from storelens.catalog.merchandising import collection_metrics
 from storelens.catalog.registry import Catalog
 from storelens.catalog.segments import customers
 from storelens.catalog.views import AS_OF, RetailTables
+from storelens.functions.dates import with_ship_date
 from storelens.functions.text import match_name, upper_key
 from storelens.operators.cleaning import preprocess_strings
 from storelens.operators.joins import keys_in_both, keys_only_left, match_stats, value_counts
 from storelens.operators.reshape import size_columns
 from storelens.plans import order_sheets as o
+from storelens.session import stage
 
 MASTER_COLUMNS = (
     "row_no, sku_parent, size_abbreviation, sku, upc, collection, season, faho24_status, ext_id"
@@ -57,7 +59,9 @@ def matches(t: RetailTables) -> DataFrame:
 
 
 def order_import(t: RetailTables) -> DataFrame:
-    return o.order_import(sheet(t), sizes(t), lookup(t), t.contacts, AS_OF)
+    rows = stage(groups(t), "order_groups")
+    found = o.order_items_enriched(o.order_items(rows, sizes(t)), lookup(t))
+    return o.order_import(stage(found, "order_items"), rows, t.contacts, AS_OF)
 
 
 def all_match_stats(t: RetailTables) -> DataFrame:
@@ -107,9 +111,7 @@ def register(c: Catalog) -> None:
     )
     c.part(
         "grouped_rows",
-        """select *, last_value(case when customer <> '' then row_no end ignore nulls) over w as start_row,
-                  last_value(nullif(customer, '') ignore nulls) over w as order_customer,
-                  last_value(case when customer <> '' then ship_date end ignore nulls) over w as order_ship_date
+        """select *, last_value(case when customer <> '' then row_no end ignore nulls) over w as start_row
            from order_sheet window w as (partition by file order by row_no rows between unbounded preceding and current row)""",
     )
     cells = " union all ".join(
@@ -306,6 +308,12 @@ def register(c: Catalog) -> None:
         groups,
         "select * from grouped_rows",
     )
+    c.add(
+        "order_starts",
+        lambda t: o.order_starts(sheet(t), AS_OF),
+        """select file, start_row, customer, raw_ship_date, strftime(coalesce(ship_on, timestamp '2001-08-02'), '%m/%d/%Y') as ship_date,
+                  ship_on is null as defaulted from sheet_starts""",
+    )
     c.add("order_notes", lambda t: o.order_notes(groups(t)), "select * from notes_by_order")
     c.add("order_items", items, "select * from long_items")
     c.add("order_items_enriched", enriched, "select * from found_items where sku is not null")
@@ -338,9 +346,9 @@ def register(c: Catalog) -> None:
     )
     c.add(
         "ship_date_clean",
-        lambda t: t.raw_cells.select(
-            "cell_id", "ship_cell", o.ship_date(F.col("ship_cell"), AS_OF).alias("r")
-        ).select("cell_id", "ship_cell", "r.*"),
+        lambda t: with_ship_date(
+            t.raw_cells.select("cell_id", "ship_cell"), "ship_cell", AS_OF, "ship_date", "defaulted"
+        ),
         f"""select cell_id, ship_cell, strftime(coalesce(d, timestamp '2001-08-02'), '%m/%d/%Y') as ship_date, d is null as defaulted
             from (select cell_id, ship_cell, {clean_ship('ship_cell')} as d from raw_cells) x""",
     )

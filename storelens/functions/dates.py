@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from calendar import isleap
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.ratios import is_true
@@ -82,33 +83,45 @@ def day_type(c: Column, years: tuple[int, int] | None = None) -> Column:
     return F.when(c.isNull(), None).when(off, "holiday").otherwise("workday")
 
 
-def ship_date(c: Column, as_of: datetime) -> Column:
-    """Struct of the cleaned ship date and whether it fell back to tomorrow.
+def with_ship_date(
+    df: DataFrame, source: str, as_of: datetime, cleaned: str, defaulted: str
+) -> DataFrame:
+    """Add the cleaned ship date and whether it fell back to tomorrow.
 
     The first month/day(/year) anywhere in the text counts. Without a year the
-    next such date that has not begun yet is meant.
+    next such date that has not begun yet is meant. Every step is a column of
+    its own, so that what later steps use several times is computed once.
     """
-    raw = nonempty(c)
-    part = [F.regexp_extract(raw, SHIP_DATE_PATTERN, i).try_cast("int") for i in (1, 2, 3)]
-    month, day, written_year = part
-    midnight = F.lit(0)
-
-    def on(year: Column) -> Column:
-        return F.try_make_timestamp_ntz(year, month, day, midnight, midnight, midnight)
-
+    raw = nonempty(F.col(source))
+    written = F.when(F.upper(raw) != SHIP_ASAP, F.regexp_extract(raw, SHIP_DATE_PATTERN, 0))
+    month, day, year = F.col("__month"), F.col("__day"), F.col("__year")
+    numbers = {
+        f"__{name}": F.get("__parts", F.lit(i)).try_cast("int")
+        for i, name in enumerate(("month", "day", "year"))
+    }
+    this = month * 100 + day
+    today = as_of.month * 100 + as_of.day
+    begun = this < today if as_of.time() == datetime.min.time() else this <= today
+    no_leap_day = (this == 229) & F.lit(not isleap(as_of.year))
     full_year = (
-        F.when(written_year < 50, written_year + 2000)
-        .when(written_year < 100, written_year + 1900)
-        .otherwise(written_year)
+        F.when(year.isNull() & ~no_leap_day, F.lit(as_of.year) + begun.cast("int"))
+        .when(year < 50, year + 2000)
+        .when(year < 100, year + 1900)
+        .otherwise(year)
     )
-    this_year = on(F.lit(as_of.year))
-    next_free = F.when(this_year < ts(as_of), on(F.lit(as_of.year + 1))).otherwise(this_year)
-    written = F.when(written_year.isNull(), next_free).otherwise(on(full_year))
-    found = F.when(F.upper(raw) != SHIP_ASAP, F.date_format(written, SHIP_DATE_LAYOUT))
-    tomorrow = (as_of + timedelta(days=1)).strftime("%m/%d/%Y")
-    return F.struct(
-        F.coalesce(found, F.lit(tomorrow)).alias("ship_date"),
-        found.isNull().alias("defaulted"),
+    first = F.when(month.between(1, 12) & (day > 0), F.make_date("__year", month, F.lit(1)))
+    found = F.when(F.month("__date") == month, F.date_format("__date", SHIP_DATE_LAYOUT))
+    tomorrow = F.lit((as_of + timedelta(days=1)).strftime("%m/%d/%Y"))
+    return (
+        df.withColumn("__parts", F.split(F.coalesce(written, F.lit("")), r"[/\-]"))
+        .withColumns(numbers)
+        .withColumn("__year", full_year)
+        .withColumn("__date", F.date_add(first, day - 1))
+        .withColumn("__found", found)
+        .withColumns(
+            {cleaned: F.coalesce("__found", tomorrow), defaulted: F.col("__found").isNull()}
+        )
+        .drop("__parts", *numbers, "__date", "__found")
     )
 
 

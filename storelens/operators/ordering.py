@@ -42,40 +42,36 @@ def carry_forward(
     group: Sequence[str],
     row_no: str,
     starts: Column,
-    values: dict[str, Column],
+    name: str,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Give every row the values of the last starting row at or before it.
+    """Give every row the number of the last starting row at or before it.
 
     A group may be one huge file, so the scan has two levels: the last start
     of each chunk of row numbers is carried across the chunks of a group
-    (one small row per chunk), then rows look back inside their own chunk.
+    (one number per chunk), then rows look back inside their own chunk.
+    Row numbers grow, so the last start is the largest one.
     """
-    payload = F.struct(F.col(row_no).alias("start_row"), *[v.alias(k) for k, v in values.items()])
-    marked = df.withColumn("__chunk", F.floor(F.col(row_no) / F.lit(chunk_rows))).withColumn(
-        "__start", F.when(starts, payload)
-    )
+    started = F.when(starts, F.col(row_no))
+    chunked = df.withColumn("__chunk", F.floor(F.col(row_no) / F.lit(chunk_rows)))
     chunk_keys = [*group, "__chunk"]
     before = Window.partitionBy(*group).orderBy("__chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
     carried = (
-        marked.groupBy(*chunk_keys)
-        .agg(F.max("__start").alias("__last"))
-        .withColumn("__carry", F.last("__last", ignorenulls=True).over(before))
+        chunked.groupBy(*chunk_keys)
+        .agg(F.max(started).alias("__last"))
+        .withColumn("__carry", F.max("__last").over(before))
         .drop("__last")
     )
     inside = Window.partitionBy(*chunk_keys).orderBy(row_no).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    found = F.coalesce(F.col("__near"), F.col("__carry"))
     return (
-        marked.withColumn("__near", F.last("__start", ignorenulls=True).over(inside))
+        chunked.withColumn("__near", F.max(started).over(inside))
         .join(carried, chunk_keys)
-        .withColumns(
-            {"start_row": found["start_row"], **{name: found[name] for name in values}}
-        )
-        .drop("__chunk", "__start", "__near", "__carry")
+        .withColumn(name, F.coalesce("__near", "__carry"))
+        .drop("__chunk", "__near", "__carry")
     )
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job in this package relies on. Skewed joins are
 # split by adaptive execution even when a later step has to shuffle again.
@@ -57,3 +57,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table several later steps read, and read it back.
+
+    The written table survives the loss of executors, ends the lineage and
+    knows its size, so that joins with it are planned on facts.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
