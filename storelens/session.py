@@ -49,13 +49,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     Only a session without ``spark.checkpoint.dir`` (a local test run) falls
     back to a temporary folder of this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="storelens-")
-        spark.sparkContext.setCheckpointDir(base)
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
