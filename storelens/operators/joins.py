@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 NULL_SALTS = 16
 SALT = "__salt"
 
+# Tasks the rows of one key are spread over in a join with few rows per key.
+SPREAD_SALTS = 64
+
 Keys = str | Sequence[str]
 
 
@@ -85,6 +88,23 @@ def join_tables(
     return left.join(right, reduce(Column.__and__, condition), how).drop("__r_salt", *drop)
 
 
+def spread_join(
+    left: DataFrame, right: DataFrame, on: Keys, salts: int = SPREAD_SALTS
+) -> DataFrame:
+    """Inner join on a key of which one value may hold most left rows.
+
+    Left rows of a key go to the task their content picks; the right side, at
+    most a few rows per key, exists once per salt. What follows therefore
+    starts from evenly filled tasks, whether or not Spark broadcasts.
+    """
+    keys = _names(on)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    salted = left.withColumn(SALT, F.pmod(row_hash, F.lit(salts)).cast("int"))
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = right.withColumn(SALT, F.explode(every_salt))
+    return salted.join(copies, [*keys, SALT]).drop(SALT)
+
+
 def duplicate_keys(df: DataFrame, keys: Keys) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     names = _names(keys)

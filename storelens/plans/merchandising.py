@@ -26,7 +26,7 @@ from storelens.functions.ratios import (
 )
 from storelens.functions.text import title_words
 from storelens.operators.cleaning import id_columns_first
-from storelens.operators.joins import SALT, join_tables, match_stats, salt_nulls
+from storelens.operators.joins import SALT, join_tables, match_stats, salt_nulls, spread_join
 from storelens.operators.ordering import average_rank, top_per_group
 
 # Report parameters.
@@ -385,10 +385,11 @@ def collection_rest(metrics: DataFrame, n: int = TOP_N) -> DataFrame:
     """Rows after the first ``n`` of their collection.
 
     Found by comparing with the n-th row's sort key, one row per collection,
-    so no task has to number a whole collection.
+    so no task has to number a whole collection. That row joins with the
+    collection spread over many tasks.
     """
     last = _shown_last(metrics, n)
-    joined = metrics.join(last, "collection")
+    joined = spread_join(metrics, last, "collection")
     same = F.col("position").eqNullSafe(F.col("last_position"))
     later = is_true(F.col("position") > F.col("last_position")) | (
         F.col("position").isNull() & F.col("last_position").isNotNull()

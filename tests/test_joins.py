@@ -86,3 +86,15 @@ def test_value_counts_include_null(spark):
     assert Counter(tuple(r) for r in joins.value_counts(df, "v").collect()) == Counter(
         [("a", 1), (None, 2)]
     )
+
+
+def test_spread_join(spark):
+    left_rows = [("hot" if i % 3 else f"k{i}", i) for i in range(500)]
+    right_rows = [("hot", 1), ("k3", 2), ("k3", 3), ("none", 4)]
+    left = spark.createDataFrame(left_rows, "k string, l int")
+    right = spark.createDataFrame(right_rows, "k string, r int")
+    found = joins.spread_join(left, right, "k")
+    assert found.columns == ["k", "l", "r"]
+    assert Counter(tuple(r) for r in found.collect()) == Counter(
+        (k, l, r) for k, l in left_rows for rk, r in right_rows if rk == k
+    )
