@@ -58,7 +58,7 @@ def register(c: Catalog) -> None:
     )
     c.part(
         "best",
-        """select row_number() over (order by round(total_revenue, 4) desc, p.product_id) as rank, p.product_id, p.total_quantity,
+        """select cast(row_number() over (order by round(total_revenue, 4) desc, p.product_id) as int) as rank, p.product_id, p.total_quantity,
                   round_even(p.total_revenue, 2) as total_revenue, p.order_count, l.handle, l.title, l.product_type, l.badge
            from sold_products p join shopify_listings l on p.product_id = l.product_id where l.status = 'ACTIVE'
            order by rank limit 100""",
@@ -148,6 +148,15 @@ def register(c: Catalog) -> None:
         """select 'update_badge' as operation, case when product_id in (select product_id from shopify_listings) then 'success' else 'failed' end as status,
                   count(*) as change_count from sale_ids group by 2""",
     )
+    for name, add in (("tag_add_plan", True), ("tag_remove_plan", False)):
+        c.add(
+            name,
+            lambda t, add=add: w.tag_plan(sale_products(t), SET_TAGS, add).select(
+                *flat, F.array_join("payload.tags", ",").alias("tags")
+            ),
+            f"""select product_gid, '{w.TAGS_ADD if add else w.TAGS_REMOVE}' as operation, true as dry_run,
+                       'Clearance,Plain' as tags from sale_gids""",
+        )
     c.add(
         "tags_added",
         lambda t: w.tags_added(t.listing_tags, tag_changes(t, True)),

@@ -159,15 +159,15 @@ def register(c: Catalog) -> None:
     )
     c.part(
         "collection_rows",
-        """select *, row_number() over (partition by collection order by position nulls last, product_id nulls last) as row_no
+        """select *, cast(row_number() over (partition by collection order by position nulls last, product_id nulls last) as int) as row_no
            from collection_metrics""",
     )
     c.part("shown_rows", "select * from collection_rows where row_no <= 50")
     c.part(
         "buried_rows",
         """select * from (
-             select *, row_number() over (partition by collection
-                      order by revenue_30d desc nulls last, position nulls last, product_id nulls last) as buried_no
+             select *, cast(row_number() over (partition by collection
+                      order by revenue_30d desc nulls last, position nulls last, product_id nulls last) as int) as buried_no
              from collection_rows where row_no > 50) r
            where buried_no <= 5""",
     )

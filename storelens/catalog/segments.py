@@ -72,7 +72,7 @@ def register(c: Catalog) -> None:
     )
     c.part(
         "timed_orders",
-        """select *, hour(created_at) as hour,
+        """select *, cast(hour(created_at) as int) as hour,
                   case when extract(isodow from created_at) >= 6 or cast(created_at as date) in (select day from holiday_days)
                        then 'holiday' else 'workday' end as day_type
            from s_orders""",
@@ -246,6 +246,11 @@ def register(c: Catalog) -> None:
         lambda t: value_counts(customer_features(t), "holiday_send_hour"),
         "select holiday_send_hour, count(*) as row_count from f_customers group by holiday_send_hour",
     )
+    c.add(
+        "workday_send_hour_distribution",
+        lambda t: value_counts(customer_features(t), "workday_send_hour"),
+        "select workday_send_hour, count(*) as row_count from f_customers group by workday_send_hour",
+    )
     c.add(
         "campaign_lists",
         lambda t: d.campaign_lists(t.campaigns),

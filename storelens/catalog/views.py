@@ -16,6 +16,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelens.operators.ordering import row_numbers
+
 AS_OF = datetime(2001, 8, 1, 12)
 
 GIVEN = ("customer", "part", "orders", "lineitem", "events")
@@ -213,6 +215,8 @@ class RetailTables:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         if name == "stock_daily":
             return self._stock_daily()
+        if name == "searchspring_collection":
+            return self._searchspring_collection()
         refs = {n: getattr(self, n) for n in _names_in(VIEWS[name])}
         return self.spark.sql(VIEWS[name].replace("{ts}", "timestamp_ntz"), **refs)
 
@@ -234,3 +238,22 @@ class RetailTables:
                 amount.cast("double").alias("free_qty"),
             )
         )
+
+    def _searchspring_collection(self) -> DataFrame:
+        """Ranked products of every type; no task numbers a whole type."""
+        key = F.col("p_partkey")
+        ranked = row_numbers(
+            self.part.filter(key % 5 == 0).withColumn("bucket", (key * 7919) % 1009),
+            ["p_type"],
+            "bucket",
+            [key],
+            "position",
+        )
+        listed = F.concat("p_name", F.lit(" "), "p_brand")
+        missing = F.concat(F.lit("missing "), "p_name")
+        return ranked.select(
+            F.col("p_type").alias("collection"),
+            "position",
+            F.when(key % 65 == 0, missing).otherwise(listed).alias("name"),
+            F.col("p_retailprice").alias("price"),
+        )

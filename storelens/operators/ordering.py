@@ -87,6 +87,30 @@ def running_position(
     return df.withColumn(name, (offset + pos).cast("bigint"))
 
 
+def row_numbers(
+    df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column], name: str
+) -> DataFrame:
+    """Number the rows of a group by bucket, then by ``order``, in two levels.
+
+    Rows are numbered inside their (group, bucket) and moved by the size of
+    the buckets before it, so a group of any size is numbered by many tasks.
+    """
+    keys = [*group, bucket]
+    before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__size"))
+        .select(*keys, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
+    )
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return (
+        df.withColumn("__inside", inside)
+        .join(offsets, keys)
+        .withColumn(name, F.col("__before") + F.col("__inside"))
+        .drop("__before", "__inside")
+    )
+
+
 def average_rank(
     value: Column, group: Sequence[str | Column], of: Column | None = None
 ) -> Column:
