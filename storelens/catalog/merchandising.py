@@ -196,8 +196,8 @@ def register(c: Catalog) -> None:
         return (
             f"case when {low} then -1 when {high} then 1 else 0 end as {short}_band, "
             f"case when {low} then {low_alpha} when {high} then {high_alpha} end as {short}_alpha, "
-            f"case when {low} then concat('rgba(255, 107, 107, ', printf('%.3f', {low_alpha}), ')') "
-            f"when {high} then concat('rgba(46, 204, 113, ', printf('%.3f', {high_alpha}), ')') "
+            f"case when {low} then concat('rgba(255, 107, 107, ', printf('%.8f', {low_alpha}), ')') "
+            f"when {high} then concat('rgba(46, 204, 113, ', printf('%.8f', {high_alpha}), ')') "
             f"else 'transparent' end as {short}_color"
         )
 

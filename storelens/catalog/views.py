@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import string
 from datetime import datetime
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,17 +183,6 @@ def sql_of(name: str) -> str:
     return VIEWS[name].format(ts="timestamp", **refs)
 
 
-@lru_cache(maxsize=None)
-def needed_views(names: tuple[str, ...]) -> tuple[str, ...]:
-    """The views a statement on ``names`` needs, each after those it uses."""
-    ordered: dict[str, None] = {}
-    for name in names:
-        if name in VIEWS:
-            ordered.update(dict.fromkeys(needed_views(tuple(_names_in(VIEWS[name])))))
-            ordered[name] = None
-    return tuple(ordered)
-
-
 class RetailTables:
     """The retail tables of one folder of given tables, as DataFrames."""
 

@@ -76,7 +76,7 @@ def heat_alpha(rank: Column, invert: bool = False) -> Column:
 
 def heat_color(band: Column, alpha: Column) -> Column:
     """Style value of a band and opacity."""
-    shade = F.concat(F.format_string("%.3f", alpha), F.lit(")"))
+    shade = F.concat(F.format_string("%.8f", alpha), F.lit(")"))
     return (
         F.when(band < 0, F.concat(F.lit(HEAT_RED), shade))
         .when(band > 0, F.concat(F.lit(HEAT_GREEN), shade))
