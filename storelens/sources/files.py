@@ -46,20 +46,6 @@ def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
     return process_table(raw, "master_sku")
 
 
-def _hex_pairs(content: Column) -> Column:
-    return F.regexp_replace(F.hex(content), "(..)", "$1 ")
-
-
-def encoding_of(content: Column) -> Column:
-    """First of utf-8, windows-1252 and latin-1 that can decode the bytes."""
-    undefined = rf"(^| )({'|'.join(UNDEFINED_IN_WINDOWS)}) "
-    return (
-        F.when(F.is_valid_utf8(content.cast("string")), UTF_8)
-        .when(~_hex_pairs(content).rlike(undefined), WINDOWS_1252)
-        .otherwise(LATIN_1)
-    )
-
-
 def _reading_options(encoding: str) -> dict:
     charset = UTF_8 if encoding == UTF_8 else LATIN_1
     return {"header": True, "encoding": charset, "multiLine": True, "escape": '"'}
@@ -73,13 +59,27 @@ def _decoded(c: Column, encoding: str) -> Column:
 
 
 def csv_encodings(spark: SparkSession, path: str) -> DataFrame:
-    """Encoding of every file of a folder."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(
+    """First of utf-8, windows-1252 and latin-1 that can decode a file, per file.
+
+    Lines are looked at as bytes, so a large file is checked in parts by many
+    tasks and never held in memory as a whole.
+    """
+    line = F.col("value")
+    valid = F.is_valid_utf8(line)
+    byte_pairs = F.regexp_replace(F.hex(line), "(..)", "$1 ")
+    undefined = rf"(^| )({'|'.join(UNDEFINED_IN_WINDOWS)}) "
+    checked = spark.read.text(path).select(
         file_name(),
         F.col("_metadata.file_path").alias("file_path"),
-        encoding_of(F.col("content")).alias("encoding"),
+        valid.alias("utf_8"),
+        (valid | ~byte_pairs.rlike(undefined)).alias("windows"),
+    )
+    encoding = (
+        F.when(F.bool_and("utf_8"), UTF_8)
+        .when(F.bool_and("windows"), WINDOWS_1252)
+        .otherwise(LATIN_1)
     )
+    return checked.groupBy("file", "file_path").agg(encoding.alias("encoding"))
 
 
 def read_text_csvs(spark: SparkSession, path: str) -> DataFrame:

@@ -153,7 +153,7 @@ def brute_match(name, contacts):
 
 def test_contact_match_against_brute_force(spark):
     rng = random.Random(11)
-    words = ["Blue", "Moon", "Shop", "The", "sun", "co", "Luna-Park", "B", "o'Neil", "blue moon"]
+    words = ["Blue", "Moon", "Shop", "The", "sun", "co", "Moon-Park", "B", "o'Neil", "blue moon"]
     contacts = [
         (i, " ".join(rng.choices(words, k=rng.randint(1, 4))), f"id{i}", rng.random() < 0.4)
         for i in range(150)
