@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from storelens.catalog import CATALOG
 from tests.compare import compare, connect
 from tests.conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = {n: entry.queries()[n] for n in CATALOG.queries}, entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(ORACLES)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
