@@ -2,18 +2,41 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from storelens.llm.bpe_counts import count_tokens
 from storelens.llm.circulant_minhash import near_duplicates
 from storelens.llm.frames import read
+from storelens.llm.grouped_packing import pack
+from storelens.llm.weak_rules import judge_quality
+
+
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents"), words=2, percent=80)
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    counted = judge_quality(read(spark, folder, "documents"))
+    return counted.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "good", "kept",
+    )
+
+
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_token_counts": op4_token_counts,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 #: No operator's whole result can be told in SQL that finishes on whole tables.
