@@ -6,12 +6,13 @@ coordinate k is the smallest number met when the circle is turned by k. Bands of
 neighbouring coordinates are the buckets candidates come from; a link is
 confirmed by the Jaccard similarity of the whole shingle sets.
 
-Equal sets are one class from the start. Classes meet in rounds: in each bucket
-one class is the centre and the others are compared with it, so a round is linear
-in the bucket sizes. What is linked already is not compared again; the pairs left
-over between different components are compared outright once they are few.
-No bucket is capped and every candidate pair is either compared or known to be
-connected.
+Equal sets are one class from the start. Then each class is compared with one
+other, the smallest it shares a bucket with, and the links are closed to
+components. A bucket whose members are all connected is done. The members of the
+other buckets meet once more in blocks: a task gets a bucket, or two parts of a
+large one, and compares members of different components as rows of a bit matrix,
+so pairs are never rows of a table. No bucket is capped, and every candidate pair
+is either compared or known to be connected.
 
 Nulls, empty texts and texts of white space have no shingles: they link with
 nothing and are their own component. Rows without an id are returned with a null
@@ -34,8 +35,8 @@ from storelens.llm.textbytes import LOWER, RangeHash, batch_slices, find_words,
 
 BANDS, ROWS = 36, 5
 CIRCLE_BITS = 20
-#: Compare what is left outright when it is at most this many pairs per class.
-LEFT_PER_CLASS = 4
+#: A block of an open bucket has about this many members and shingles at most.
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1_500_000
 
 
 def _circle(coordinates: int) -> np.ndarray:
@@ -149,7 +150,7 @@ def near_duplicates(
     owners = members.select("rep").distinct()
     texts = docs.join(owners, docs.doc_id == owners.rep, "left_semi").distinct()
     texts = stage(texts.withColumnRenamed("doc_id", "rep"), "minhash-texts")
-    comp = _linked(members, texts, classes, words, percent, ids)
+    comp = _linked(members, texts, words, percent, ids)
     roots = classes.select("digest", "rep").join(
         comp.withColumnRenamed("node", "rep"), "rep", "left"
     ).select("digest", F.coalesce("component", "rep").alias("component"))
@@ -163,66 +164,77 @@ def near_duplicates(
     )
 
 
-def _linked(members: DataFrame, texts: DataFrame, classes: DataFrame, words: int, percent: int, ids: str) -> DataFrame:
-    """Components of the classes that share buckets, by rounds of comparison."""
+def _linked(members: DataFrame, texts: DataFrame, words: int, percent: int, ids: str) -> DataFrame:
+    """Components of the classes that share buckets."""
     similar = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (F.col("rep") != F.col("rep2"))
-    budget = LEFT_PER_CLASS * max(classes.count(), 250)
+    centre = members.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("c"))
+    met = members.join(centre, "bucket").select("rep", "n", F.col("c.rep").alias("rep2"), F.col("c.n").alias("n2"))
+    best = met.where(similar).groupBy("rep").agg(F.min("rep2").alias("rep2"))
+    pairs = best.join(texts, "rep").withColumnRenamed("text", "text1")
+    pairs = pairs.join(texts.toDF("rep2", "text2"), "rep2").select("rep", "rep2", "text1", "text2")
+    links = stage(pairs.mapInArrow(_confirm(words, percent), f"a {ids}, b {ids}"), "minhash-links")
+    comp = stage(components(links, "minhash-first").toDF("rep", "comp"), "minhash-components")
+
+    named = members.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    several = named.groupBy("bucket").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("total")
+    ).where("lo < hi")
+    parts = F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    open_rows = named.join(several.select("bucket", parts.alias("parts")), "bucket")
+    own = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    open_rows = open_rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    open_rows = open_rows.select(
+        "bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "rep", "comp"
+    )
+    blocks = open_rows.join(texts, "rep").groupBy("bucket", "p", "q")
+    more = stage(blocks.applyInArrow(_compare_block(words, percent), f"a {ids}, b {ids}"), "minhash-more-links")
+    return components(links.union(more.distinct()), "minhash-last")
+
+
+def _compare_block(words: int, percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        sets = []
+        for _, offsets, data in slices(table.column("text").combine_chunks()):
+            sets.extend(shingle_sets(offsets, data, words))
+        reps = table.column("rep").to_numpy()
+        comps = np.unique(table.column("comp").to_numpy(), return_inverse=True)[1]
+        part = table.column("own").to_numpy()
+        one, two = _block_links(sets, comps, part, percent)
+        return pa.table({"a": pa.array(reps[one]), "b": pa.array(reps[two])})
+
+    return run
+
 
-    def compare(pairs: DataFrame, turn: int) -> DataFrame:
-        pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-        pairs = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        links = pairs.select("a", "b", "text_a", "text_b").mapInArrow(
-            _confirm(words, percent), f"a {ids}, b {ids}"
+def _block_links(
+    sets: list[np.ndarray], comps: np.ndarray, part: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links between members of different components (and parts, if there are
+    two). Each member outside the largest component is compared with all others;
+    one link to each component is enough."""
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    shared = np.bincount(place, minlength=len(values)) > 1  # others add nothing to an intersection
+    column = np.cumsum(shared) - 1
+    keep = shared[place]
+    width = int(shared.sum()) // 8 + 8
+    bits = np.zeros((len(sets), width - width % 8 + 8), dtype=np.uint8)
+    at = column[place[keep]]
+    np.bitwise_or.at(bits, (owner[keep], at // 8), (1 << (at % 8)).astype(np.uint8))
+    lanes = bits.view(np.uint64)
+    largest = np.bincount(comps).argmax()
+    two_parts = len(np.unique(part)) > 1
+    one, two = [], []
+    for i in np.flatnonzero(comps != largest):
+        common = np.concatenate(
+            [np.bitwise_count(lanes[j : j + 256] & lanes[i]).sum(axis=1, dtype=np.int64) for j in range(0, len(sets), 256)]
         )
-        return stage(links, f"minhash-links-{turn}")
-
-    links, comp, turn = None, None, 0
-    left = members.withColumn("comp", F.col("rep"))
-    while True:
-        turn += 1
-        if turn == 1:
-            # one comparison a class: the smallest id it shares any bucket with
-            centre = left.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("c"))
-            met = left.join(centre, "bucket").select("rep", "n", F.col("c.rep").alias("rep2"), F.col("c.n").alias("n2"))
-            best = met.where(similar).groupBy("rep", "n").agg(F.min(F.struct("rep2", "n2")).alias("c"))
-            pairs = best.select("rep", F.col("c.rep2").alias("rep2"))
-            compared = None
-        else:
-            centre = left.groupBy("bucket").agg(
-                F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "comp")).alias("c")
-            )
-            met = left.join(centre, "bucket").select(
-                "rep", "n", "comp", F.col("c.rep").alias("rep2"), F.col("c.n").alias("n2"), F.col("c.comp").alias("comp2")
-            )
-            pairs = met.where(similar & (F.col("comp") != F.col("comp2")))
-            compared = centre.select("bucket", F.col("c.rep").alias("rep"))
-        found = compare(pairs, turn)
-        links = found if links is None else links.union(found)
-        comp = stage(components(links, f"minhash-{turn}"), f"minhash-components-{turn}")
-        if compared is not None:
-            left = left.join(compared, ["bucket", "rep"], "left_anti")
-        left = _mixed(left, comp, turn)
-        open_pairs = _pairs_left(left)
-        if open_pairs == 0:
-            return comp
-        if open_pairs <= budget:
-            other = left.select("bucket", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "comp")])
-            pairs = left.join(other, "bucket").where(similar & (F.col("comp") < F.col("comp2")))
-            links = links.union(compare(pairs, 0))
-            return components(links, "minhash-last")
-
-
-def _mixed(left: DataFrame, comp: DataFrame, turn: int) -> DataFrame:
-    """The members of buckets that still hold several components."""
-    named = left.drop("comp").join(comp.toDF("rep", "comp"), "rep", "left")
-    named = named.withColumn("comp", F.coalesce("comp", "rep"))
-    several = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    return stage(named.join(several.select("bucket"), "bucket", "left_semi"), f"minhash-left-{turn}")
-
-
-def _pairs_left(left: DataFrame) -> int:
-    """Pairs of different components in the same bucket."""
-    sizes = left.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
-    pairs = sizes.groupBy("bucket").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"))
-    total = pairs.agg(F.sum((F.col("k") * F.col("k") - F.col("own")) / 2)).first()[0]
-    return int(total or 0)
+        linked = (100 * common >= percent * (sizes + sizes[i] - common)) & (comps != comps[i])
+        if two_parts:
+            linked &= part != part[i]
+        found = np.flatnonzero(linked)
+        found = found[np.unique(comps[found], return_index=True)[1]]
+        one += [i] * len(found)
+        two += found.tolist()
+    return np.array(one, dtype=np.int64), np.array(two, dtype=np.int64)

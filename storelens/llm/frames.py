@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,13 +12,23 @@ from storelens.session import stage, tune
 
 __all__ = ["components", "prepared", "read", "rows_as", "stage"]
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
 #: Rows of one Arrow batch, so that batches of long texts stay small.
 BATCH_ROWS = 500
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with the library's settings and small Arrow batches."""
+    """The session with the library's settings and small Arrow batches.
+
+    Python workers import this package: on a cluster it is shipped to them
+    (``--py-files`` or an image); on one machine they get its folder.
+    """
     tune(spark)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
