@@ -5,13 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from storelens.llm import attention_quality, secret_cnn
 from storelens.llm.bpe_counts import count_tokens
 from storelens.llm.circulant_minhash import near_duplicates
 from storelens.llm.frames import read
 from storelens.llm.grouped_packing import pack
+from storelens.llm.spaced_seeds import contaminated
 from storelens.llm.weak_rules import judge_quality
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = attention_quality.train(docs, read(spark, folder, "labels"))
+    scored = attention_quality.score(docs, model)
+    return scored.select("doc_id", attention_quality.held_out().alias("held_out"), "score", "predicted")
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -24,6 +33,10 @@ def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents"), words=2, percent=80)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     counted = judge_quality(read(spark, folder, "documents"))
     return counted.select(
@@ -32,11 +45,20 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    found = secret_cnn.find_secrets(docs, secret_cnn.train(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_model")
+
+
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_token_counts": op4_token_counts,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_quality_rules": op8_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 #: No operator's whole result can be told in SQL that finishes on whole tables.
