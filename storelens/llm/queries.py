@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import attention_quality, secret_cnn
+from storelens.llm import attention_quality, license_families, mincut_html, secret_cnn
 from storelens.llm.bpe_counts import count_tokens
 from storelens.llm.circulant_minhash import near_duplicates
 from storelens.llm.frames import read
 from storelens.llm.grouped_packing import pack
 from storelens.llm.spaced_seeds import contaminated
+from storelens.llm.suffix_dedup import remove_repeats
 from storelens.llm.weak_rules import judge_quality
 
 
@@ -25,6 +26,11 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages")
+    return mincut_html.extract(pages, mincut_html.train(pages))
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -37,6 +43,11 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return license_families.scan(docs, license_families.train(docs))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     counted = judge_quality(read(spark, folder, "documents"))
     return counted.select(
@@ -51,14 +62,21 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_model")
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_html_extraction": op3_html_extraction,
     "op4_token_counts": op4_token_counts,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 #: No operator's whole result can be told in SQL that finishes on whole tables.
