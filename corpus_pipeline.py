@@ -34,8 +34,8 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     id: shingles of five words, similarity 0.8 or more."""
     found = near_duplicates(docs, words=5, percent=80)
     kept = _without(docs, found.where("doc_id is not null and not kept"))
-    # the same row twice has the same id and is still one document
-    return kept.where("doc_id is null").union(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    # copies of a row, with the same id, are one document as well
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
