@@ -40,7 +40,7 @@ def induce(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, size: in
     sizes = np.bincount(text, minlength=size)
     tails = np.cumsum(sizes)
     heads = tails - sizes
-    array = np.full(n, -1, dtype=np.int64)
+    array = np.full(n, -1, dtype=np.int32)
     order, place, counts = _ranks(text[leftmost], size)
     chosen = leftmost[order]
     seeds = tails - counts
@@ -153,9 +153,9 @@ def common_prefixes(text: np.ndarray, array: np.ndarray, wanted: np.ndarray, lim
     """Permuted common prefixes: for each place, how much its suffix shares with
     the one sorted before it, up to ``limit`` codes below 2^16; only where both
     places are wanted, 0 elsewhere. The text runs on for ``limit`` after those."""
-    earlier = np.full(len(text), -1, dtype=np.int64)
+    earlier = np.full(len(text), -1, dtype=np.int32)
     earlier[array[1:]] = array[:-1]
-    found = np.zeros(len(text), dtype=np.int64)
+    found = np.zeros(len(text), dtype=np.int32)
     at = np.flatnonzero(wanted & (earlier >= 0))
     at = at[wanted[earlier[at]]]
     padded = np.concatenate([text.astype("<u2"), np.zeros(4, "<u2")])

@@ -11,8 +11,8 @@ stretch, and stretches meet by their pick:
   suffix array is induced and its permuted common prefixes tell which windows
   occur in another stretch.
 
-Shards have a bounded size: many picks share one, and a pick with more stretches
-than a shard holds is dealt to several. Windows of such a pick that found no
+Shards have a bounded size: many picks share one, and a pick whose stretches have
+more bytes than a shard holds is dealt to several. Windows of such a pick that found no
 partner in their shard, and one of each kind that did, meet the other shards by a
 hash of the window. Documents that are exact copies enter once and are repeats as
 a whole. No pick, stretch or copy is left out or capped.
@@ -39,8 +39,8 @@ from storelens.llm.textbytes import RangeHash, batch_slices, mix, slices
 LENGTH = 400
 #: Bytes of the substrings a window picks from.
 PICK = 32
-#: Stretches of one pick in a shard, and bytes of a shard, about.
-SHARD_STRETCHES, SHARD_BYTES = 1500, 1 << 21
+#: Bytes of a shard, about; a pick with more than that is dealt to several.
+SHARD_BYTES = 1 << 22
 
 
 def _sliding_least(values: np.ndarray, size: int) -> np.ndarray:
@@ -82,11 +82,24 @@ def _stretches(length: int, pick: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kept, offsets, data in batch_slices(batches, "text", ["digest"]):
             own, picks, content, first, last = stretches(offsets, data, length, pick)
-            sizes = np.bincount(own, minlength=len(offsets) - 1)
+            # a stretch that a text repeats (periodic text has many) goes out once
+            key = mix(picks ^ mix(content ^ mix(own.astype(np.uint64) + np.uint64(3))))
+            _, index, times = np.unique(key, return_index=True, return_counts=True)
+            order = np.argsort(index)
+            index, times = index[order], times[order]
+            sizes = np.bincount(own[index], minlength=len(offsets) - 1)
             ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            columns = [picks.view(np.int64), content.view(np.int64), first.astype(np.int32), last.astype(np.int32)]
+            columns = [
+                picks[index].view(np.int64),
+                content[index].view(np.int64),
+                first[index].astype(np.int32),
+                last[index].astype(np.int32),
+                times.astype(np.int32),
+            ]
             lists = [pa.ListArray.from_arrays(ends, pa.array(c)) for c in columns]
-            yield pa.RecordBatch.from_arrays([kept.column(0), *lists], names=["digest", "pick", "content", "first", "last"])
+            yield pa.RecordBatch.from_arrays(
+                [kept.column(0), *lists], names=["digest", "pick", "content", "first", "last", "times"]
+            )
 
     return run
 
@@ -168,12 +181,25 @@ def _shard(length: int):
     return run
 
 
-def _remove(length: int):
+def _remove(length: int, pick: int):
+    """Cuts the repeated windows out; a text's stretches are found again, so that
+    all copies of a stretch inside it are met."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, spans, kept = [], [], []
-            for text, lows, highs in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)]):
+            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 raw = text.encode()
+                data = np.frombuffer(raw, dtype=np.uint8)
+                _, picks, content, first, _ = stretches(np.array([0, len(data)]), data, length, pick)
+                at: dict[tuple[int, int], list[int]] = {}
+                for key in zip(picks.view(np.int64).tolist(), content.view(np.int64).tolist(), first.tolist()):
+                    at.setdefault(key[:2], []).append(key[2])
+                lows, highs = [], []
+                for f in found:
+                    starts = at[f["pick"], f["content"]]
+                    lows += [s + f["low"] for s in starts]
+                    highs += [s + f["high"] for s in starts]
                 edge = np.zeros(len(raw) + 1, dtype=np.int64)
                 np.add.at(edge, lows, 1)
                 np.add.at(edge, np.array(highs) + length, -1)
@@ -201,22 +227,24 @@ def remove_repeats(
     long = docs.where(F.octet_length("text") >= length)
     found = long.select("digest", "text").mapInArrow(
         _stretches(length, pick),
-        "digest binary, pick array<long>, content array<long>, first array<int>, last array<int>",
+        "digest binary, pick array<long>, content array<long>, first array<int>, last array<int>, times array<int>",
     )
-    lists = ["pick", "content", "first", "last"]
+    lists = ["pick", "content", "first", "last", "times"]
     texts = found.groupBy("digest").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in lists])
     texts = stage(texts, "repeats-texts")
     each = texts.select("digest", F.inline(F.arrays_zip(*lists)))
-    often = each.groupBy("pick").agg(F.count("*").alias("k")).where("k > 1").select("pick")
+    often = each.groupBy("pick").agg(F.sum("times").alias("k")).where("k > 1").select("pick")
     each = stage(each.join(often, "pick", "left_semi"), "repeats-stretches")
 
     groups = each.groupBy("pick", "content").agg(
-        F.count("*").alias("k"), F.min(F.struct("digest", "first", "last")).alias("one")
+        F.sum("times").alias("k"), F.min(F.struct("digest", "first", "last")).alias("one")
     )
     groups = stage(groups, "repeats-groups")
-    kinds = groups.groupBy("pick").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    parts = F.ceil(F.col("kinds") / SHARD_STRETCHES)
-    total = groups.agg(F.sum(F.col("one.last") - F.col("one.first") + length)).first()[0] or 0
+    size = F.col("one.last") - F.col("one.first") + length
+    kinds = groups.groupBy("pick").agg(F.count("*").alias("kinds"), F.sum(size).alias("bytes")).where("kinds > 1")
+    kinds = stage(kinds, "repeats-picks")
+    parts = F.ceil(F.col("bytes") / SHARD_BYTES)
+    total = kinds.agg(F.sum("bytes")).first()[0] or 0
     shards = int(total) // SHARD_BYTES + 1
     dealt = groups.join(kinds, "pick").select(
         F.col("one.digest").alias("digest"),
@@ -245,16 +273,17 @@ def remove_repeats(
     across = shared.where("window is not null")
     met = across.groupBy("pick", "window").agg(F.count("*").alias("k")).where("k > 1").select("pick", "window")
     across = across.join(met, ["pick", "window"], "left_semi").select("pick", "content", "low", "high")
-    partly = each.join(within.union(across), ["pick", "content"]).select(
-        "digest", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high")
+    wholly = groups.where("k > 1").select(
+        "pick", "content", F.lit(0).alias("low"), (F.col("one.last") - F.col("one.first")).alias("high")
     )
-    wholly = each.join(groups.where("k > 1").select("pick", "content"), ["pick", "content"], "left_semi")
-    spans = partly.union(wholly.select("digest", F.col("first").alias("low"), F.col("last").alias("high")))
-    spans = spans.groupBy("digest").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
+    repeats = stage(within.union(across).union(wholly), "repeats-windows")
+    spans = each.select("digest", "pick", "content").join(repeats, ["pick", "content"])
     single = texts.where("copies = 1").select("digest")
-    spans = spans.join(single, "digest", "left_semi")
-    changed = long.join(spans, "digest").select("digest", "text", "lows", "highs").mapInArrow(
-        _remove(length), "digest binary, n_removed long, n_spans long, kept_sha256 string"
+    spans = spans.join(single, "digest", "left_semi").groupBy("digest").agg(
+        F.collect_list(F.struct("pick", "content", "low", "high")).alias("found")
+    )
+    changed = long.join(spans, "digest").select("digest", "text", "found").mapInArrow(
+        _remove(length, pick), "digest binary, n_removed long, n_spans long, kept_sha256 string"
     )
     copies = texts.where("copies > 1").select("digest", F.lit(True).alias("copied"))
     rows = docs.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
