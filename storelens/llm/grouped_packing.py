@@ -39,8 +39,9 @@ from storelens.llm.frames import prepared, rows_as, stage
 
 CAPACITY = 4096
 END_ID = 1
-#: Lengths above this share of the capacity are grouped.
-LARGE_SHARE = 8
+#: Lengths above 1/n of the capacity are grouped; of these n the one whose plan
+#: has the fewest sequences is taken.
+LARGE_SHARES = (2, 4)
 GROUPS = 32
 #: Words a worker remembers the identifiers of.
 REMEMBERED = 600_000
@@ -219,8 +220,8 @@ class Plan:
     def __init__(self, capacity: int):
         self.capacity = capacity
         self.sequences = 0
-        self.done: list[tuple[int, list]] = []  # (how many, [(length, copies)])
-        self.room: dict[int, list[tuple[int, list]]] = {}  # by what is left
+        # by what is left: (how many, [(length, copies)])
+        self.room: dict[int, list[tuple[int, list]]] = {}
         self.rooms: list[int] = []
 
     def put(self, many: int, left: int, contents: list) -> None:
@@ -258,6 +259,9 @@ class Plan:
             if contents:
                 self.put(many - whole, left, contents)
 
+    def size(self) -> int:
+        return sum(many for own in self.room.values() for many, _ in own)
+
     def runs(self) -> dict[str, np.ndarray]:
         """Sorted by length and first rank: where ranks lo... of a length go."""
         rows, first, base = [], {}, 0
@@ -277,11 +281,16 @@ class Plan:
 
 def make_plan(counts: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS) -> Plan:
     """``counts``: how many documents have each length from 0 to the capacity."""
+    plans = [_plan_for(counts, capacity, groups, share) for share in LARGE_SHARES]
+    return min(plans, key=Plan.size)
+
+
+def _plan_for(counts: np.ndarray, capacity: int, groups: int, share: int) -> Plan:
     plan = Plan(capacity)
     left = counts.copy()
     plan.put(int(left[capacity]), 0, [(capacity, 1)])
     left[capacity] = 0
-    dealt = group_lengths(left, capacity // LARGE_SHARE + 1, groups)
+    dealt = group_lengths(left, capacity // share + 1, groups)
     if dealt:
         sizes = [group[0][0] for group in dealt]
         demand = np.array([sum(n for _, n in group) for group in dealt], dtype=float)
