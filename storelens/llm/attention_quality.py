@@ -101,7 +101,8 @@ def describe(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _met_before(hashes: np.ndarray, row: np.ndarray, passage: np.ndarray) -> np.ndarray:
     """Whether a word and the next occurred in an earlier passage of the row."""
     pair = hashes.copy()
-    pair[:-1] = mix(pair[:-1] ^ (hashes[1:] * np.uint64(3)))
+    inside = np.flatnonzero(row[1:] == row[:-1])
+    pair[inside] = mix(hashes[inside] ^ (hashes[inside + 1] * np.uint64(3)))
     key = mix(pair ^ mix(row.astype(np.uint64) + np.uint64(77)))
     values, index, inverse = np.unique(key, return_index=True, return_inverse=True)
     return passage[index][inverse] < passage
