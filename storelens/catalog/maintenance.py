@@ -142,6 +142,12 @@ def register(c: Catalog) -> None:
         """select * exclude (hit, badge), case when hit then 'Sale' else badge end as badge, hit as changed
            from (select *, product_id in (select product_id from sale_ids where product_id is not null) as hit from shopify_listings) l""",
     )
+    c.add(
+        "listings_after_clear",
+        lambda t: w.badge_applied(t.shopify_listings, w.badge_clear_plan(stale(t), dry_run=False)).drop("changed"),
+        """select * replace (case when product_id in (select product_id from stale_badges) then null else badge end as badge)
+           from shopify_listings""",
+    )
     c.add(
         "change_summary",
         lambda t: w.change_summary(w.change_results(badge_changes(t), t.shopify_listings)),

@@ -81,7 +81,7 @@ def register(c: Catalog) -> None:
         "priced",
         """select v.variant_id, v.product_id, v.sku, v.price, coalesce(v.compare_at_price, k.ec, v.price) as compare_at_price,
                   k.unit_cost, k.category_group
-           from variants v left join master_sku k on v.sku is not distinct from k.sku""",
+           from variants v left join master_sku k on v.sku = k.sku""",
     )
     c.part(
         "priced_pct",
@@ -117,7 +117,7 @@ def register(c: Catalog) -> None:
         "variant_sales",
         f"""select *, {weeks} from (
               select v.*, coalesce(n.current_qty, 0) as current_qty, {sales}, {stock}, {rates}
-              from priced_pct v left join stock_now n on v.sku is not distinct from n.sku {joins}) w""",
+              from priced_pct v left join stock_now n on v.sku = n.sku {joins}) w""",
     )
     means = ("price", "compare_at_price", "markdown_pct", "unit_cost", "margin_pct")
     sums = ("units_sold", "revenue", "order_count", "days_in_stock")
@@ -155,7 +155,7 @@ def register(c: Catalog) -> None:
                   s.rate_of_sale_30d, coalesce(s.rate_of_sale_7d / nullif(s.rate_of_sale_30d, 0), 0) as velocity_trend,
                   s.markdown_pct, s.margin_pct, s.weeks_of_sale,
                   case when s.weeks_of_sale < 1 then 1 else 0 end as low_stock
-           from searchspring_collection k left join rounded_listings s on k.name is not distinct from s.title""",
+           from searchspring_collection k left join rounded_listings s on k.name = s.title""",
     )
     c.part(
         "collection_rows",
@@ -276,7 +276,7 @@ def register(c: Catalog) -> None:
         "variant_current_stock",
         lambda t: m.variant_current_stock(t.variants, t.stock_daily),
         """select v.*, coalesce(n.current_qty, 0) as current_qty
-           from variants v left join stock_now n on v.sku is not distinct from n.sku""",
+           from variants v left join stock_now n on v.sku = n.sku""",
     )
     c.add(
         "variant_sales",

@@ -13,9 +13,13 @@ from storelens.functions.dates import with_ship_date
 from storelens.functions.text import match_name, upper_key
 from storelens.operators.cleaning import preprocess_strings
 from storelens.operators.joins import keys_in_both, keys_only_left, match_stats, value_counts
-from storelens.operators.reshape import size_columns
+from storelens.operators.reshape import size_columns, unpivot_sizes
 from storelens.plans import order_sheets as o
-from storelens.session import stage
+from storelens.session import shared_dir, stage
+from storelens.sources.files import read_text_csvs
+
+# Invented sales representatives by file prefix.
+REPS = {"JC": "Robin North", "AK": "Sam East", "AG": "Kim South", "CF": "Lou West"}
 
 MASTER_COLUMNS = (
     "row_no, sku_parent, size_abbreviation, sku, upc, collection, season, faho24_status, ext_id"
@@ -61,7 +65,29 @@ def matches(t: RetailTables) -> DataFrame:
 def order_import(t: RetailTables) -> DataFrame:
     rows = stage(groups(t), "order_groups")
     found = o.order_items_enriched(o.order_items(rows, sizes(t)), lookup(t))
-    return o.order_import(stage(found, "order_items"), rows, t.contacts, AS_OF)
+    return o.order_import(stage(found, "order_items"), rows, t.contacts, AS_OF, REPS)
+
+
+def sheet_folder(t: RetailTables) -> DataFrame:
+    """Sheets with their own size columns, in different orders and two encodings,
+    written to one folder, read back and brought to long form."""
+    path = shared_dir(t.spark, "sheets")
+    line = t.lineitem
+    who = F.concat(F.lit("Café "), F.col("l_suppkey").cast("string")).alias("Customer")
+    parent = F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("Parent SKU")
+    units = F.col("l_quantity").cast("int").cast("string")
+    number = (F.col("l_linenumber") - 1).cast("string")
+    kinds = (
+        ("UTF-8", [who, parent, units.alias("S"), number.alias("M")]),
+        ("ISO-8859-1", [parent, who, number.alias("M"), units.alias("QTY S"), F.lit("1").alias("L")]),
+        ("UTF-8", [who, F.lit("x").alias("Other"), parent, units.alias("XL")]),
+    )
+    for kind, (encoding, columns) in enumerate(kinds):
+        rows = line.filter(F.col("l_orderkey") % 3 == kind).select(*columns)
+        rows.write.mode("append").csv(path, header=True, encoding=encoding)
+    sheets = o.clean_sheet(read_text_csvs(t.spark, path, own_headers=True))
+    named = {"S": "S", "M": "M", "L": "L", "XL": "XL", "QTY S": "S"}
+    return unpivot_sizes(sheets, ["customer"], named)
 
 
 def all_match_stats(t: RetailTables) -> DataFrame:
@@ -211,8 +237,8 @@ def register(c: Catalog) -> None:
     )
     c.part(
         "file_reps",
-        """select *, case prefix when 'JC' then 'Jada Claiborne' when 'AK' then 'Alyssa Kallal' when 'AG' then 'Angela Gonzales'
-                          when 'CF' then 'Christina Freberg' else 'Unknown' end as salesperson from files_seen""",
+        """select *, case prefix when 'JC' then 'Robin North' when 'AK' then 'Sam East' when 'AG' then 'Kim South'
+                          when 'CF' then 'Lou West' else 'Unknown' end as salesperson from files_seen""",
     )
     c.part(
         "import_rows",
@@ -297,10 +323,20 @@ def register(c: Catalog) -> None:
         """select k.size_col, k.size from (values ('s', 'S'), ('m', 'M'), ('l', 'L'), ('osfm', 'OSFM')) k(size_col, size)
            where k.size = 'OSFM' or k.size in (select size_abbreviation from master_kept)""",
     )
-    c.add("sheet_rep_code", lambda t: o.sheet_rep_code(t.order_sheet), "select * from file_reps")
+    c.add(
+        "sheet_folder_items",
+        sheet_folder,
+        """select 'Café ' || l_suppkey as customer, 'P' || l_partkey as parent, cast(u.size_pos as integer) as size_pos, u.size, u.qty
+           from lineitem, lateral (values
+                (0, 0, 'S', cast(trunc(l_quantity) as bigint)), (0, 1, 'M', cast(l_linenumber as bigint) - 1),
+                (1, 0, 'M', cast(l_linenumber as bigint) - 1), (1, 1, 'S', cast(trunc(l_quantity) as bigint)), (1, 2, 'L', 1),
+                (2, 0, 'XL', cast(trunc(l_quantity) as bigint))) u(kind, size_pos, size, qty)
+           where u.kind = l_orderkey % 3 and u.qty <> 0""",
+    )
+    c.add("sheet_rep_code", lambda t: o.sheet_rep_code(t.order_sheet, REPS), "select * from file_reps")
     c.add(
         "unknown_rep_files",
-        lambda t: o.unknown_rep_files(t.order_sheet),
+        lambda t: o.unknown_rep_files(t.order_sheet, REPS),
         "select file, prefix from file_reps where salesperson = 'Unknown'",
     )
     c.add(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storelens.catalog.registry import Catalog
 from storelens.catalog.views import RetailTables
-from storelens.functions.buckets import COHORT_STATES, DAY_PARTS, hour_bucket, tz_cohort
+from storelens.functions.buckets import DAY_PARTS, hour_bucket, tz_cohort
 from storelens.functions.dates import day_type
 from storelens.operators.joins import value_counts
 from storelens.plans import dashboard as d
@@ -46,7 +46,7 @@ def register(c: Catalog) -> None:
     c.part(
         "matched_customers",
         """select c.*, p.profile_id from shopify_customers c
-           left join profiles p on trim(lower(c.email)) is not distinct from trim(lower(p.email))""",
+           left join profiles p on trim(lower(c.email)) = trim(lower(p.email))""",
     )
     c.part(
         "calendar_days",
@@ -83,10 +83,13 @@ def register(c: Catalog) -> None:
                   median(hour) filter (where day_type = 'workday') as workday_send_hour
            from timed_orders where customer_id is not null group by customer_id""",
     )
-    states = " ".join(
-        f"when upper(trim(default_address_province)) in ({', '.join(repr(x) for x in codes.split())}) then '{cohort}'"
-        for cohort, codes in COHORT_STATES.items()
-    )
+    state = "upper(trim(default_address_province))"
+    states = f"""
+        when {state} in ('CT', 'DC', 'DE', 'FL', 'GA', 'IN', 'KY', 'MA', 'MD', 'ME', 'MI', 'NC', 'NH', 'NJ', 'NY', 'OH', 'PA', 'RI', 'SC', 'VA', 'VT', 'WV') then 'eastern'
+        when {state} in ('AL', 'AR', 'IA', 'IL', 'KS', 'LA', 'MN', 'MO', 'MS', 'ND', 'NE', 'OK', 'SD', 'TN', 'TX', 'WI') then 'central'
+        when {state} in ('AZ', 'CO', 'ID', 'MT', 'NM', 'UT', 'WY') then 'mountain'
+        when {state} in ('AK', 'CA', 'HI', 'NV', 'OR', 'WA') then 'pacific'
+    """
     c.part("cohorts", f"select *, case {states} end as tz_cohort from matched_customers")
     c.part(
         "hours_one",
@@ -124,7 +127,7 @@ def register(c: Catalog) -> None:
     c.part(
         "member_times",
         f"""select m.segment_id, {bucket('f.holiday_send_hour')} as holiday_bucket, {bucket('f.workday_send_hour')} as workday_bucket
-            from segment_membership m left join f_customers f on m.profile_id is not distinct from f.profile_id""",
+            from segment_membership m left join f_customers f on m.profile_id = f.profile_id""",
     )
     shares = ", ".join(
         f"coalesce(count(*) filter (where {k}_bucket = '{p}') / nullif(cast(count({k}_bucket) as double), 0), 0) as {k}_pct_{p}"
@@ -143,8 +146,8 @@ def register(c: Catalog) -> None:
            from (select m.segment_id, count(distinct m.profile_id) as total_customers, count(distinct o.order_id) as total_orders,
                         coalesce(sum(o.current_total_price), 0) as total_order_revenue
                  from segment_membership m
-                 left join matched_customers c on m.profile_id is not distinct from c.profile_id
-                 left join s_orders o on c.customer_id is not distinct from o.customer_id
+                 left join matched_customers c on m.profile_id = c.profile_id
+                 left join s_orders o on c.customer_id = o.customer_id
                  group by m.segment_id) g""",
     )
     pct_columns = [f"{k}_pct_{p}" for k in ("holiday", "workday") for p in DAY_PARTS]

@@ -9,12 +9,59 @@ from pyspark.sql import functions as F
 
 from storelens.functions.text import strip
 
-# US states by time-zone cohort.
-COHORT_STATES = {
-    "eastern": "CT DE FL GA IN KY ME MD MA MI NH NJ NY NC OH PA RI SC VT VA WV DC",
-    "central": "AL AR IL IA KS LA MN MS MO NE ND OK SD TN TX WI",
-    "mountain": "AZ CO ID MT NM UT WY",
-    "pacific": "CA NV OR WA AK HI",
+# Time-zone cohort of each US state.
+STATE_COHORTS = {
+    "AK": "pacific",
+    "AL": "central",
+    "AR": "central",
+    "AZ": "mountain",
+    "CA": "pacific",
+    "CO": "mountain",
+    "CT": "eastern",
+    "DC": "eastern",
+    "DE": "eastern",
+    "FL": "eastern",
+    "GA": "eastern",
+    "HI": "pacific",
+    "IA": "central",
+    "ID": "mountain",
+    "IL": "central",
+    "IN": "eastern",
+    "KS": "central",
+    "KY": "eastern",
+    "LA": "central",
+    "MA": "eastern",
+    "MD": "eastern",
+    "ME": "eastern",
+    "MI": "eastern",
+    "MN": "central",
+    "MO": "central",
+    "MS": "central",
+    "MT": "mountain",
+    "NC": "eastern",
+    "ND": "central",
+    "NE": "central",
+    "NH": "eastern",
+    "NJ": "eastern",
+    "NM": "mountain",
+    "NV": "pacific",
+    "NY": "eastern",
+    "OH": "eastern",
+    "OK": "central",
+    "OR": "pacific",
+    "PA": "eastern",
+    "RI": "eastern",
+    "SC": "eastern",
+    "SD": "central",
+    "TN": "central",
+    "TX": "central",
+    "UT": "mountain",
+    "VA": "eastern",
+    "VT": "eastern",
+    "WA": "pacific",
+    "WI": "central",
+    "WV": "eastern",
+    "WY": "mountain",
 }
 
 # Names of the parts of the day.
@@ -26,13 +73,13 @@ MARKDOWN_BUCKETS = ("0% (Full Price)", "1-20%", "21-50%", "50%+")
 # Heat-map limits and colors.
 HEAT_LOW, HEAT_HIGH = 0.30, 0.70
 HEAT_BASE_ALPHA, HEAT_ALPHA_RANGE = 0.3, 0.5
+COLOR_DIGITS = 8
 HEAT_RED, HEAT_GREEN, HEAT_NONE = "rgba(255, 107, 107, ", "rgba(46, 204, 113, ", "transparent"
 
 
 def tz_cohort(c: Column) -> Column:
     """Time-zone cohort of a two-letter state code; anything else is null."""
-    pairs = [(code, cohort) for cohort, codes in COHORT_STATES.items() for code in codes.split()]
-    cohorts = F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs)])
+    cohorts = F.create_map(*[F.lit(x) for x in chain.from_iterable(STATE_COHORTS.items())])
     return F.try_element_at(cohorts, F.upper(strip(c)))
 
 
@@ -74,9 +121,14 @@ def heat_alpha(rank: Column, invert: bool = False) -> Column:
     return F.lit(HEAT_BASE_ALPHA) + F.lit(HEAT_ALPHA_RANGE) * distance / F.lit(0.30)
 
 
-def heat_color(band: Column, alpha: Column) -> Column:
-    """Style value of a band and opacity."""
-    shade = F.concat(F.format_string("%.8f", alpha), F.lit(")"))
+def heat_color(band: Column, alpha: Column, digits: int | None = COLOR_DIGITS) -> Column:
+    """Style value of a band and opacity.
+
+    The opacity is written with ``digits`` digits, as the last ones of a
+    percentile depend on how an engine adds; None writes all of them.
+    """
+    text = alpha.cast("string") if digits is None else F.format_string(f"%.{digits}f", alpha)
+    shade = F.concat(text, F.lit(")"))
     return (
         F.when(band < 0, F.concat(F.lit(HEAT_RED), shade))
         .when(band > 0, F.concat(F.lit(HEAT_GREEN), shade))

@@ -41,14 +41,17 @@ def join_tables(
     on: Keys,
     how: str = "left",
     right_on: Keys | None = None,
-    null_keys: str = "match",
+    null_keys: str = "sql",
     null_salts: int = NULL_SALTS,
     prune_right_nulls: bool = False,
 ) -> DataFrame:
     """Equi join that keeps the left key columns and drops the right ones.
 
+    A null key meets nothing (``null_keys="sql"``), so the join is a plain
+    equality that later steps can reuse the partitioning of.
     ``null_keys="match"`` lets a null key on one side meet a null key on the
-    other, ``"sql"`` never does. Both are hash joins. Because all null keys
+    other, which makes as many pairs as both sides have such rows: count them
+    first (``null_pairs``). Both are hash joins. Because all null keys
     share one hash value they are salted: a left row with a null key goes to
     the task its content picks, and right rows with a null key exist once per
     salt, so every pair still meets exactly once. The salt is computed from
@@ -88,6 +91,13 @@ def join_tables(
     return left.join(right, reduce(Column.__and__, condition), how).drop("__r_salt", *drop)
 
 
+def null_pairs(left: DataFrame, right: DataFrame, on: Keys, right_on: Keys | None = None) -> int:
+    """How many pairs of null keys a join with ``null_keys="match"`` would make
+    for keys of one column."""
+    (a,), (b,) = _names(on), _names(right_on if right_on is not None else on)
+    return left.filter(F.col(a).isNull()).count() * right.filter(F.col(b).isNull()).count()
+
+
 def spread_join(
     left: DataFrame, right: DataFrame, on: Keys, salts: int = SPREAD_SALTS
 ) -> DataFrame:

@@ -53,7 +53,7 @@ def carry_forward(
     Row numbers grow, so the last start is the largest one.
     """
     started = F.when(starts, F.col(row_no))
-    chunked = df.withColumn("__chunk", F.floor(F.col(row_no) / F.lit(chunk_rows)))
+    chunked = df.withColumn("__chunk", F.shiftright(F.col(row_no).cast("bigint"), chunk_rows.bit_length() - 1))
     chunk_keys = [*group, "__chunk"]
     before = Window.partitionBy(*group).orderBy("__chunk").rowsBetween(
         Window.unboundedPreceding, -1

@@ -46,16 +46,21 @@ def unpivot_sizes(
     """One row per ordered size: parent, size, size position and quantity.
 
     Cells that are not numbers and zeros are skipped, fractions are cut off,
-    rows without a parent are dropped.
+    rows without a parent are dropped. Where the rows say in ``header`` which
+    columns their file has, the position is the one in that file.
     """
+    places = {column: F.lit(pos) for pos, column in enumerate(sizes)}
+    if "header" in sheet.columns:
+        own = F.filter("header", lambda h: h.isin(*sizes))
+        places = {c: (F.array_position(own, F.lit(c)) - 1).cast("int") for c in sizes}
     cells = F.array(
         *[
             F.struct(
-                F.lit(pos).alias("size_pos"),
+                places[column].alias("size_pos"),
                 F.lit(size).alias("size"),
                 number(F.col(f"`{column}`")).alias("amount"),
             )
-            for pos, (column, size) in enumerate(sizes.items())
+            for column, size in sizes.items()
         ]
     )
     filled = F.filter(cells, lambda cell: cell["amount"] != 0)

@@ -10,10 +10,10 @@ import os
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from storelens.functions.dates import extract_since
 from storelens.operators.cleaning import normalize_headers
+from storelens.operators.joins import assert_unique
 from storelens.operators.reshape import size_columns
 from storelens.plans import maintenance, merchandising, order_sheets, segments
 from storelens.session import stage
@@ -102,8 +102,13 @@ def order_sheet_import(
     contacts: str,
     target: str,
     as_of: datetime,
+    reps: dict[str, str],
 ) -> None:
-    """All order sheets of a folder to the import table and its quality tables."""
+    """All order sheets of a folder to the import table and its quality tables.
+
+    The import files are one folder per sheet. Fails when the resolved product
+    master still has a parent and size twice.
+    """
     out = _Folder(spark, target)
     filtered = stage(
         order_sheets.master_filtered(
@@ -114,19 +119,23 @@ def order_sheet_import(
         ),
         "master",
     )
-    lookup = stage(order_sheets.orderable(order_sheets.master_unique(filtered)), "lookup")
-    sheet = order_sheets.clean_sheet(read_text_csvs(spark, sheets))
+    out.write("master_duplicates", order_sheets.master_duplicates(filtered))
+    unique = stage(order_sheets.master_unique(filtered), "master_unique")
+    assert_unique(unique, order_sheets.MASTER_KEY, "product master")
+    lookup = stage(order_sheets.orderable(unique), "lookup")
+    sheet = order_sheets.clean_sheet(read_text_csvs(spark, sheets, own_headers=True))
     sizes = size_columns(sheet.columns, filtered, "size_abbreviation")
     groups = out.write("order_groups", order_sheets.order_groups(stage(sheet, "sheet")))
     ordered = order_sheets.order_items(groups, sizes)
     items = out.write("order_items", order_sheets.order_items_enriched(ordered, lookup))
     people = normalize_headers(read_text_csvs(spark, contacts))
-    table = out.write("order_import", order_sheets.order_import(items, groups, people, as_of))
-    out.report("order_import_csv", order_sheets.import_file(table))
+    table = out.write("order_import", order_sheets.order_import(items, groups, people, as_of, reps))
+    files = order_sheets.import_files(table)
+    files.write.mode("overwrite").partitionBy("file").csv(os.path.join(target, "order_import_csv"), header=True)
     out.write("unmatched_items", order_sheets.order_items_unmatched(ordered, lookup))
     out.write("missing_ext_ids", order_sheets.missing_ext_ids(items))
     out.write("defaulted_ship_dates", order_sheets.defaulted_ship_dates(groups, as_of))
-    out.write("unknown_rep_files", order_sheets.unknown_rep_files(groups))
+    out.write("unknown_rep_files", order_sheets.unknown_rep_files(groups, reps))
 
 
 def best_sellers(
@@ -147,7 +156,8 @@ def best_sellers(
 def clear_stale_badges(
     spark: SparkSession, source: str, target: str, as_of: datetime, dry_run: bool = True
 ) -> DataFrame:
-    """Plan the removal of stale badges; live, also write the listings without them."""
+    """Plan the removal of stale badges; live, also write all listings as they are
+    after it, under a name of their own."""
     have, out = _Folder(spark, source), _Folder(spark, target)
     stale = maintenance.stale_new_badges(have["shopify_listings"], as_of)
     plan = out.write("badge_plan", maintenance.badge_clear_plan(stale, dry_run))
@@ -155,5 +165,5 @@ def clear_stale_badges(
     out.write("change_summary", maintenance.change_summary(results))
     if not dry_run:
         applied = maintenance.badge_applied(have["shopify_listings"], plan)
-        out.write("shopify_listings", applied.filter(F.col("changed")).drop("changed"))
+        out.write("shopify_listings_after", applied.drop("changed"))
     return plan

@@ -26,7 +26,7 @@ from storelens.functions.ratios import (
 )
 from storelens.functions.text import title_words
 from storelens.operators.cleaning import id_columns_first
-from storelens.operators.joins import SALT, join_tables, match_stats, salt_nulls, spread_join
+from storelens.operators.joins import join_tables, match_stats, spread_join
 from storelens.operators.ordering import average_rank, top_per_group
 
 # Report parameters.
@@ -72,30 +72,43 @@ def variant_window_sales(
 ) -> DataFrame:
     """Units, revenue, orders and revenue per unit of each variant per trailing window.
 
-    All windows come out of one pass. Orders older than the longest window are
-    never read into the join; lines collapse per (order, variant) before it,
-    so a huge order or a much-sold variant does not travel row by row, and
-    distinct orders become a plain count.
+    All windows come out of one pass. Lines meet the recent orders first, in one
+    shuffle by order on which older lines are left behind, and collapse per
+    (order, variant) where they are; distinct orders are a plain count then.
+    Lines and orders without an order id are one order of their own.
     """
+    flags = [f"orders_{d}" for d in windows]
     recent = (
         orders.filter(F.col("created_at") >= cutoff(as_of, max(windows)))
         .groupBy("order_id")
         .agg(
             *[
-                F.count_if(F.col("created_at") >= cutoff(as_of, d)).alias(f"orders_{d}")
-                for d in windows
+                F.count_if(F.col("created_at") >= cutoff(as_of, d)).alias(flag)
+                for d, flag in zip(windows, flags)
             ]
         )
     )
-    per_order = (
-        order_lines.filter(F.col("variant_id").isNotNull())
-        .groupBy("order_id", "variant_id")
-        .agg(
-            _sum0(F.col("quantity").cast("bigint")).alias("units"),
-            _sum0(F.col("variant_price") * F.col("quantity")).alias("revenue"),
-        )
+    lines = order_lines.filter(F.col("variant_id").isNotNull()).select(
+        "order_id", "variant_id", "quantity", "variant_price"
+    )
+    units = _sum0(F.col("quantity").cast("bigint")).alias("units")
+    revenue = _sum0(F.col("variant_price") * F.col("quantity")).alias("revenue")
+    dated = (
+        join_tables(lines, recent, "order_id", how="inner")
+        .groupBy("order_id", "variant_id", *flags)
+        .agg(units, revenue)
+    )
+    # one row at most
+    nameless = recent.filter(F.col("order_id").isNull())
+    times = {flag: nameless.select(flag).scalar() for flag in flags}
+    without = (
+        lines.filter(F.col("order_id").isNull())
+        .groupBy("variant_id")
+        .agg(units, revenue)
+        .withColumns({**times, "order_id": F.lit(None).cast(lines.schema["order_id"].dataType)})
+        .filter(F.col(flags[0]).isNotNull())
     )
-    dated = join_tables(per_order, recent, "order_id", how="inner")
+    dated = dated.unionByName(without)
     metrics = []
     for d in windows:
         times = F.col(f"orders_{d}")
@@ -187,9 +200,9 @@ def variant_sales(
     stock = stock_windows(stock_daily, as_of, windows)
     base = variants.select("variant_id", "product_id", "sku", "price", "compare_at_price")
     # the three sku joins share one partitioning of the variants
-    wide = variant_pricing(_with_master(salt_nulls(base, "sku"), master_sku))
+    wide = variant_pricing(_with_master(base, master_sku))
     wide = variant_current_stock(wide, stock_daily)
-    wide = join_tables(wide, stock, "sku").drop(SALT)
+    wide = join_tables(wide, stock, "sku")
     wide = join_tables(wide, sales, "variant_id", null_keys="sql")
 
     filled = {}
@@ -443,12 +456,21 @@ def collection_heat(metrics: DataFrame, n: int = TOP_N) -> DataFrame:
 
 
 def _relative_rank(v: Column, p30: Column, p70: Column) -> Column:
-    """Where a value lies against the 30th and 70th percentile of the shown rows."""
-    low = F.when(p30 > 0, F.lit(0.15) * (v / p30)).otherwise(0.0)
-    above = F.least((v - p70) / (p70 * 0.5), F.lit(1.0))
-    high = F.when(p70 > 0, F.lit(0.70) + F.lit(0.30) * above).otherwise(1.0)
-    inner = F.when(p70 > p30, F.lit(0.30) + F.lit(0.40) * (v - p30) / (p70 - p30)).otherwise(0.5)
-    return F.when(v.isNull(), 0.5).when(v <= p30, low).when(v >= p70, high).otherwise(inner)
+    """Where a value lies against the 30th and 70th percentile of the shown rows.
+
+    A polygon through (0, 0), (p30, 0.15), then from (p30, 0.30) to (p70, 0.70),
+    then from (p70, 0.70) to (1.5 p70, 1), where it ends. A part that is not
+    there because its limit is not positive, or both limits are equal, is 0 at
+    the low, 1 at the high end, and one half between.
+    """
+
+    below = F.when(p30 > 0, F.lit(0.15) * (v / p30)).otherwise(0.0)
+    beyond = F.least((v - p70) / (p70 * 0.5), F.lit(1.0))
+    above = F.when(p70 > 0, F.lit(0.70) + F.lit(0.30) * beyond).otherwise(1.0)
+    between = F.coalesce(F.lit(0.30) + F.try_divide(F.lit(0.40) * (v - p30), p70 - p30), F.lit(0.5))
+    # the place among the limits picks the part of the polygon
+    part = F.when(v <= p30, below).when(v < p70, between).otherwise(above)
+    return F.when(v.isNotNull(), part).otherwise(0.5)
 
 
 def collection_buried_rank(

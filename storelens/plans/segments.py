@@ -30,17 +30,17 @@ COUNT_COLUMNS = (
 
 
 def customer_profiles(
-    customers: DataFrame, profiles: DataFrame, null_keys: str = "match"
+    customers: DataFrame, profiles: DataFrame, null_keys: str = "sql"
 ) -> DataFrame:
     """Customers with the ids of all profiles that share their email.
 
-    With ``null_keys="match"`` customers and profiles without an email meet
-    each other, as the stored customer table has it; ``"sql"`` leaves them
-    unmatched.
+    Customers without an email have no profile. ``null_keys="match"`` lets
+    customers and profiles without an email meet each other, every one with
+    every other; count the pairs first.
     """
     keyed = customers.withColumn("__email", email_key(F.col("email")))
     other = profiles.select("profile_id", email_key(F.col("email")).alias("__email"))
-    joined = join_tables(keyed, other, "__email", null_keys=null_keys, prune_right_nulls=True)
+    joined = join_tables(keyed, other, "__email", null_keys=null_keys)
     return joined.drop("__email")
 
 

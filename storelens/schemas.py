@@ -19,62 +19,179 @@ SPARK_TYPES: dict[str, T.DataType] = {
 }
 
 
-def _columns(text: str) -> dict[str, str]:
-    """Parse ``name:type`` words; a bare name is a string column."""
-    pairs = (word.partition(":") for word in text.split())
-    return {name: kind or STRING for name, _, kind in pairs}
-
-
 TABLES: dict[str, dict[str, str]] = {
-    "campaigns": _columns(
-        """campaign_id campaign_name tags subject list send_time:datetime send_weekday
-        total_recipients:int unique_placed_order:int placed_order_rate:percent revenue:float
-        unique_opens:int open_rate:percent total_opens:int unique_clicks:int click_rate:percent
-        total_clicks:int unsubscribes:int spam_complaints:int spam_complaints_rate:percent
-        successful_deliveries:int bounces:int bounce_rate:percent campaign_channel"""
-    ),
-    "shopify_listings": _columns(
-        """product_id handle title product_type status badge
-        created_at:datetime updated_at:datetime published_at:datetime"""
-    ),
-    "segments": _columns("segment_id segment_name"),
-    "segment_membership": _columns("profile_id segment_id"),
-    "profiles": _columns("profile_id email"),
-    "orders": _columns(
-        """order_id customer_id created_at:datetime current_total_price:float
-        channel_name discount_codes"""
-    ),
-    "order_lines": _columns("line_item_id order_id variant_id quantity:int variant_price:float"),
-    "variants": _columns(
-        """variant_id product_id sku price:float compare_at_price:float
-        created_at:datetime updated_at:datetime"""
-    ),
-    "shopify_customers": _columns(
-        """customer_id email phone first_name last_name display_name verified_email
-        created_at:datetime updated_at:datetime state number_of_orders:int amount_spent:float
-        amount_spent_currency last_order_id last_order_created_at:datetime
-        default_address_country default_address_province default_address_city
-        default_address_zip data_sale_opt_out"""
-    ),
-    "master_sku": _columns(
-        """date_added_to_ms:datetime date_last_adjusted:datetime expected_receive_date:datetime
-        ws_ship_date release_month category_group category sub_category collection
-        collection_status fabric_code sku_parent sku name season faho24_status spsu25_status
-        faho25_status spsu26_status sold_by_info carded_non_carded card_properties properties
-        stones color_group color pattern_parent cord_print_pattern clasp_type material length
-        size size_abbreviation unit_cost:float ws:float ec:float weight_lbs:float upc min_qty:int
-        ws_sku ec_sku amazon_sku vendor bom_category yards_per_unit:float labor_cost:float
-        card_sku prefix prepack_sku prepack_assortment_qty:int available_sizes fabric_image_url
-        item_image_url hts_code coming_in_tall advertised_sku_yn safety_stock_qty:int drop_name
-        metal_color rack"""
-    ),
-    "searchspring_collection": _columns(
-        "position:int name price:float compare_at_price:float available"
-    ),
-    "stock_daily": _columns(
-        """internal_reference snapshot_date:datetime in_stock free_qty:float
-        outgoing_qty:float incoming_qty:float"""
-    ),
+    "campaigns": {
+        "campaign_id": STRING,
+        "campaign_name": STRING,
+        "tags": STRING,
+        "subject": STRING,
+        "list": STRING,
+        "send_time": DATETIME,
+        "send_weekday": STRING,
+        "total_recipients": INT,
+        "unique_placed_order": INT,
+        "placed_order_rate": PERCENT,
+        "revenue": FLOAT,
+        "unique_opens": INT,
+        "open_rate": PERCENT,
+        "total_opens": INT,
+        "unique_clicks": INT,
+        "click_rate": PERCENT,
+        "total_clicks": INT,
+        "unsubscribes": INT,
+        "spam_complaints": INT,
+        "spam_complaints_rate": PERCENT,
+        "successful_deliveries": INT,
+        "bounces": INT,
+        "bounce_rate": PERCENT,
+        "campaign_channel": STRING,
+    },
+    "shopify_listings": {
+        "product_id": STRING,
+        "handle": STRING,
+        "title": STRING,
+        "product_type": STRING,
+        "status": STRING,
+        "badge": STRING,
+        "created_at": DATETIME,
+        "updated_at": DATETIME,
+        "published_at": DATETIME,
+    },
+    "segments": {
+        "segment_id": STRING,
+        "segment_name": STRING,
+    },
+    "segment_membership": {
+        "profile_id": STRING,
+        "segment_id": STRING,
+    },
+    "profiles": {
+        "profile_id": STRING,
+        "email": STRING,
+    },
+    "orders": {
+        "order_id": STRING,
+        "customer_id": STRING,
+        "created_at": DATETIME,
+        "current_total_price": FLOAT,
+        "channel_name": STRING,
+        "discount_codes": STRING,
+    },
+    "order_lines": {
+        "line_item_id": STRING,
+        "order_id": STRING,
+        "variant_id": STRING,
+        "quantity": INT,
+        "variant_price": FLOAT,
+    },
+    "variants": {
+        "variant_id": STRING,
+        "product_id": STRING,
+        "sku": STRING,
+        "price": FLOAT,
+        "compare_at_price": FLOAT,
+        "created_at": DATETIME,
+        "updated_at": DATETIME,
+    },
+    "shopify_customers": {
+        "customer_id": STRING,
+        "email": STRING,
+        "phone": STRING,
+        "first_name": STRING,
+        "last_name": STRING,
+        "display_name": STRING,
+        "verified_email": STRING,
+        "created_at": DATETIME,
+        "updated_at": DATETIME,
+        "state": STRING,
+        "number_of_orders": INT,
+        "amount_spent": FLOAT,
+        "amount_spent_currency": STRING,
+        "last_order_id": STRING,
+        "last_order_created_at": DATETIME,
+        "default_address_country": STRING,
+        "default_address_province": STRING,
+        "default_address_city": STRING,
+        "default_address_zip": STRING,
+        "data_sale_opt_out": STRING,
+    },
+    "master_sku": {
+        "date_added_to_ms": DATETIME,
+        "date_last_adjusted": DATETIME,
+        "expected_receive_date": DATETIME,
+        "ws_ship_date": STRING,
+        "release_month": STRING,
+        "category_group": STRING,
+        "category": STRING,
+        "sub_category": STRING,
+        "collection": STRING,
+        "collection_status": STRING,
+        "fabric_code": STRING,
+        "sku_parent": STRING,
+        "sku": STRING,
+        "name": STRING,
+        "season": STRING,
+        "faho24_status": STRING,
+        "spsu25_status": STRING,
+        "faho25_status": STRING,
+        "spsu26_status": STRING,
+        "sold_by_info": STRING,
+        "carded_non_carded": STRING,
+        "card_properties": STRING,
+        "properties": STRING,
+        "stones": STRING,
+        "color_group": STRING,
+        "color": STRING,
+        "pattern_parent": STRING,
+        "cord_print_pattern": STRING,
+        "clasp_type": STRING,
+        "material": STRING,
+        "length": STRING,
+        "size": STRING,
+        "size_abbreviation": STRING,
+        "unit_cost": FLOAT,
+        "ws": FLOAT,
+        "ec": FLOAT,
+        "weight_lbs": FLOAT,
+        "upc": STRING,
+        "min_qty": INT,
+        "ws_sku": STRING,
+        "ec_sku": STRING,
+        "amazon_sku": STRING,
+        "vendor": STRING,
+        "bom_category": STRING,
+        "yards_per_unit": FLOAT,
+        "labor_cost": FLOAT,
+        "card_sku": STRING,
+        "prefix": STRING,
+        "prepack_sku": STRING,
+        "prepack_assortment_qty": INT,
+        "available_sizes": STRING,
+        "fabric_image_url": STRING,
+        "item_image_url": STRING,
+        "hts_code": STRING,
+        "coming_in_tall": STRING,
+        "advertised_sku_yn": STRING,
+        "safety_stock_qty": INT,
+        "drop_name": STRING,
+        "metal_color": STRING,
+        "rack": STRING,
+    },
+    "searchspring_collection": {
+        "position": INT,
+        "name": STRING,
+        "price": FLOAT,
+        "compare_at_price": FLOAT,
+        "available": STRING,
+    },
+    "stock_daily": {
+        "internal_reference": STRING,
+        "snapshot_date": DATETIME,
+        "in_stock": STRING,
+        "free_qty": FLOAT,
+        "outgoing_qty": FLOAT,
+        "incoming_qty": FLOAT,
+    },
 }
 
 

@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from storelens.operators.cleaning import process_table
 
@@ -82,39 +81,53 @@ def csv_encodings(spark: SparkSession, path: str) -> DataFrame:
     return checked.groupBy("file", "file_path").agg(encoding.alias("encoding"))
 
 
-def read_text_csvs(spark: SparkSession, path: str) -> DataFrame:
-    """All CSV files of a folder, each in the encoding it is written in.
-
-    The files share their headers. Every cell is text, empty cells are empty
-    texts, a byte-order mark is dropped. Adds ``file`` and ``row_no``, the
-    order of lines within a file: a multi-line CSV file is read by one task
-    front to back, so the running id of the task follows the file. The driver
-    learns which of the three encodings occur, never the list of files.
+def csv_layouts(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a folder by encoding and header line, which is the first line
+    of a file: one row per layout with its files."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.hex("value").alias("header"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    headers = lines.groupBy("file_path").agg(F.min_by("header", "place").alias("header"))
+    named = csv_encodings(spark, path).join(headers, "file_path")
+    return named.groupBy("encoding", "header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+
+
+def read_text_csvs(spark: SparkSession, path: str, own_headers: bool = False) -> DataFrame:
+    """All CSV files of a folder, each in the encoding and with the headers it has.
+
+    Every cell is text. Files of one layout (encoding and headers) are read
+    together, each file once, and layouts are put together by column name: a
+    column that a file lacks is empty there, as an empty cell is. A byte-order
+    mark is dropped. Adds ``file`` and ``row_no``, the order of lines within a
+    file: a multi-line CSV file is read by one task front to back, so the
+    running id of the task follows the file. ``own_headers`` also adds
+    ``header``, the columns of the file in its order, stripped. The driver learns the layouts with their files, which
+    it lists for reading anyway, never a line.
     """
-    encodings = csv_encodings(spark, path).select("file_path", "encoding")
-    present = [row["encoding"] for row in encodings.select("encoding").distinct().collect()]
-    if not present:
+    layouts = csv_layouts(spark, path).orderBy("encoding", "header").collect()
+    if not layouts:
         raise FileNotFoundError(f"no CSV files in {path}")
-
-    first = spark.read.csv(path, **_reading_options(UTF_8 if UTF_8 in present else LATIN_1))
-    headers = [h.lstrip(BOM) for h in first.columns]
-    schema = T.StructType([T.StructField(h, T.StringType(), True) for h in headers])
     parts = []
-    for encoding in present:
-        rows = spark.read.csv(path, schema=schema, **_reading_options(encoding)).select(
+    for layout in layouts:
+        raw = spark.read.csv(layout["files"], **_reading_options(layout["encoding"]))
+        headers = [h.lstrip(BOM) for h in raw.columns]
+        if layout["encoding"] == WINDOWS_1252:
+            table = str.maketrans(WINDOWS_CHARACTERS)
+            headers = [h.translate(table) for h in headers]
+        rows = raw.select(
             file_name(),
+            *([F.array(*[F.lit(h.strip()) for h in headers]).alias("header")] if own_headers else []),
             F.monotonically_increasing_id().alias("row_no"),
-            F.col("_metadata.file_path").alias("file_path"),
             *[
-                F.coalesce(_decoded(F.col(f"`{h}`"), encoding), F.lit("")).alias(h)
-                for h in headers
+                F.coalesce(_decoded(F.col(f"`{old}`"), layout["encoding"]), F.lit("")).alias(new)
+                for old, new in zip(raw.columns, headers)
             ],
         )
-        if len(present) > 1:
-            own = encodings.filter(F.col("encoding") == encoding)
-            rows = rows.join(own, "file_path", "left_semi")
-        parts.append(rows.drop("file_path"))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(rows)
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return together.fillna("")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -95,13 +95,16 @@ def membership_from_pages(pages: DataFrame, joined_after: datetime | None = None
 def collection_positions(pages: DataFrame) -> DataFrame:
     """Products of all collections with their running position across pages.
 
-    Page sizes are added up per collection, one number per page; products
-    only add their place on the page.
+    Pages are numbered by their sizes alone, one number per page; the products
+    themselves only meet the offset of their page.
     """
     sized = pages.withColumn("results", F.from_json("body", SEARCH_PAGE)["results"])
     size = F.coalesce(F.size("results"), F.lit(0))
-    offsets = running_position(sized, ["collection"], "page", size, F.lit(0), "before")
-    items = offsets.select("collection", "before", F.posexplode("results").alias("pos", "item"))
+    sizes = sized.groupBy("collection", "page").agg(F.sum(size).alias("size"))
+    offsets = running_position(sizes, ["collection"], "page", F.col("size"), F.lit(0), "before")
+    offsets = offsets.select("collection", "page", "before")
+    results = sized.select("collection", "page", F.posexplode("results").alias("pos", "item"))
+    items = results.join(offsets, ["collection", "page"])
     found = items.select(
         "collection",
         (F.col("before") + F.col("pos") + 1).alias("position"),

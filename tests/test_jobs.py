@@ -69,7 +69,7 @@ def test_order_sheet_import(spark, tmp_path):
         path.parent.mkdir(exist_ok=True)
         path.write_text(text)
     folders = [str(tmp_path / f) for f in ("sheets", "master", "export", "contacts")]
-    jobs.order_sheet_import(spark, *folders, str(tmp_path / "out"), AS_OF)
+    jobs.order_sheet_import(spark, *folders, str(tmp_path / "out"), AS_OF, {"JC": "Robin North"})
     rows = stored(spark, tmp_path / "out", "order_import").orderBy("file", "row_no", "size_pos").collect()
     assert [(r["file"], r["name"], r["id"], r["sku"], r["quantity"], r["external_id"]) for r in rows] == [
         ("JC-3.csv", "Xavier", "7", "A-S", 2, "E1"),
@@ -83,6 +83,8 @@ def test_order_sheet_import(spark, tmp_path):
     )
     csv = spark.read.csv(str(tmp_path / "out" / "order_import_csv"), header=True)
     assert csv.columns[0] == "Salesperson" and csv.count() == 5
+    assert {r["file"]: r["count"] for r in csv.groupBy("file").count().collect()} == {"JC-3.csv": 4, "ZZ-1.csv": 1}
+    assert stored(spark, tmp_path / "out", "master_duplicates").count() == 0
     assert stored(spark, tmp_path / "out", "unknown_rep_files").collect() == [("ZZ-1.csv", "ZZ")]
     assert stored(spark, tmp_path / "out", "missing_ext_ids").count() == 1
     assert stored(spark, tmp_path / "out", "defaulted_ship_dates").count() == 2
@@ -92,5 +94,8 @@ def test_maintenance(spark, tables, source, tmp_path):
     top = jobs.best_sellers(spark, tables.order_lines, source, str(tmp_path), AS_OF)
     assert 0 < top.count() <= 100
     plan = jobs.clear_stale_badges(spark, source, str(tmp_path), AS_OF, dry_run=False)
-    changed = stored(spark, tmp_path, "shopify_listings").collect()
-    assert len(changed) == plan.count() > 0 and all(r["badge"] is None for r in changed)
+    before = {r["product_id"]: r for r in stored(spark, source, "shopify_listings").collect()}
+    after = {r["product_id"]: r for r in stored(spark, tmp_path, "shopify_listings_after").collect()}
+    assert before.keys() == after.keys()
+    changed = {i for i in before if before[i] != after[i]}
+    assert len(changed) == plan.count() > 0 and all(after[i]["badge"] is None for i in changed)

@@ -17,10 +17,11 @@ def sides(spark):
 
 def test_null_keys_match_or_not(sides):
     left, right = sides
-    matched = joins.join_tables(left, right, "k")
+    matched = joins.join_tables(left, right, "k", null_keys="match")
     assert sorted(matched.select("l", "r").collect()) == [(1, 10), (2, 20), (2, 21)]
     assert matched.columns == ["k", "l", "r"]
-    plain = joins.join_tables(left, right, "k", null_keys="sql").select("l", "r").collect()
+    plain = joins.join_tables(left, right, "k").select("l", "r").collect()
+    assert joins.null_pairs(left, right, "k") == 2
     assert Counter(plain) == Counter([(1, 10), (2, None)])
     with pytest.raises(ValueError):
         joins.join_tables(left, right, "k", null_keys="maybe")
@@ -35,7 +36,7 @@ def test_many_null_keys(spark, how, prune):
     right_rows = [(None, 1), (None, 2), ("hot", 3), ("k2", 4), ("k2", 5), ("unused", 6)]
     left = spark.createDataFrame(left_rows, "k string, l int").repartition(7)
     right = spark.createDataFrame(right_rows, "k string, r int")
-    joined = joins.join_tables(left, right, "k", how=how, prune_right_nulls=prune)
+    joined = joins.join_tables(left, right, "k", how=how, null_keys="match", prune_right_nulls=prune)
     expected = [
         (k, l, r) for k, l in left_rows for rk, r in right_rows if rk == k
     ]
@@ -48,7 +49,7 @@ def test_many_null_keys(spark, how, prune):
 def test_right_nulls_are_left_out_when_left_has_none(spark):
     left = spark.createDataFrame([("a", 1)], "k string, l int")
     right = spark.createDataFrame([(None, 1), ("a", 2)], "k string, r int")
-    assert joins.join_tables(left, right, "k", prune_right_nulls=True).collect() == [("a", 1, 2)]
+    assert joins.join_tables(left, right, "k", null_keys="match", prune_right_nulls=True).collect() == [("a", 1, 2)]
 
 
 def test_null_rows_spread_over_salts(spark):
@@ -61,7 +62,7 @@ def test_null_rows_spread_over_salts(spark):
 def test_two_column_keys(spark):
     left = spark.createDataFrame([("a", None, 1), ("a", "x", 2)], "p string, s string, l int")
     right = spark.createDataFrame([("a", None, 9), ("a", "x", 8)], "p string, s string, r int")
-    rows = joins.join_tables(left, right, ["p", "s"]).select("l", "r").collect()
+    rows = joins.join_tables(left, right, ["p", "s"], null_keys="match").select("l", "r").collect()
     assert sorted(rows) == [(1, 9), (2, 8)]
 
 

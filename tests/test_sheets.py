@@ -121,34 +121,43 @@ def test_keep_first_with_copies(spark):
     assert {r["k"]: r["v"] for r in keep_first(df, ["k"], [F.col("o")]).collect()} == expected
 
 
-def brute_match(name, contacts):
-    """The tiers spelled out for one name; contacts are (row, name, id, company)."""
+REPS = {"JC": "Robin North"}
+
+
+def best_contact(name, contacts):
+    """Expected id and text for one name. Every contact that matches at all gets a
+    grade; the best grade decides, then what its rule prefers.
+    Contacts are (row, name, id, company)."""
     import re
 
-    def norm(x):
-        return re.sub(r"\s+", " ", re.sub(r"[^\w\s]", "", x.lower())).strip()
-
-    for label, hits in (
-        ("Exact", [c for c in contacts if c[1] == name]),
-        ("Normalized", [c for c in contacts if norm(c[1]) == norm(name)]),
-    ):
-        if hits:
-            companies = [c for c in hits if c[3]]
-            if companies:
-                return companies[0][2], f"[{label} match, company]"
-            return hits[0][2], f"[{label} match]"
-    hits = [c for c in contacts if norm(name) in norm(c[1])]
-    companies = [c for c in hits if c[3]]
-    if not hits:
+    def plain(x):
+        return " ".join(re.sub(r"[^\w\s]", "", x.lower()).split())
+
+    def grade(other):
+        grades = (other == name, plain(other) == plain(name), plain(name) in plain(other))
+        return grades.index(True) if True in grades else None
+
+    graded = [(grade(c[1]), c) for c in contacts]
+    found = min((g for g, _ in graded if g is not None), default=None)
+    if found is None:
         return "", "[No match]"
+    hits = [c for g, c in graded if g == found]
+    firms = [c for c in hits if c[3]]
+    pool = firms or hits
+    if found < 2:
+        tier = ("Exact", "Normalized")[found]
+        return pool[0][2], f"[{tier} match{', company' if firms else ''}]"
+    chosen = min(firms, key=lambda c: (len(c[1]), c[0])) if firms else hits[0]
+    texts = {
+        (1, True): "company", (1, False): "individual",
+    }
     if len(hits) == 1:
-        return hits[0][2], f"[Contains match, {'company' if companies else 'individual'}]"
-    if len(companies) == 1:
-        return companies[0][2], "[Contains match, company, 1 of many]"
-    if companies:
-        best = min(companies, key=lambda c: (len(c[1]), c[0]))
-        return best[2], f"[Contains match, company, 1 of {len(companies)}]"
-    return hits[0][2], f"[Contains match, 1 of {len(hits)}]"
+        note = texts[1, bool(firms)]
+    elif len(firms) == 1:
+        note = "company, 1 of many"
+    else:
+        note = f"{'company, ' if firms else ''}1 of {len(pool)}"
+    return chosen[2], f"[Contains match, {note}]"
 
 
 def test_contact_match_against_brute_force(spark):
@@ -169,7 +178,7 @@ def test_contact_match_against_brute_force(spark):
     asked = spark.createDataFrame([(n,) for n in names + names[:5] + [""]], "customer string")
     found = {r["customer"]: (r["id"], r["match_info"]) for r in o.contact_match(asked, people).collect()}
     assert found.pop("") == ("", "[No name]")
-    assert found == {n: brute_match(n, contacts) for n in names}
+    assert found == {n: best_contact(n, contacts) for n in names}
     tiers = {info.split()[0].strip("[") for _, info in found.values()}
     assert {"Exact", "Normalized", "Contains", "No"} <= tiers
 
@@ -191,7 +200,7 @@ def test_import_table(spark):
     ]
     groups = o.order_groups(sheet(spark, rows))
     items = o.order_items_enriched(o.order_items(groups, SIZES), o.orderable(m))
-    table = o.order_import(items, groups, contacts, NOW)
+    table = o.order_import(items, groups, contacts, NOW, REPS)
     keyed = {
         (r["file"], r["row_no"], r["sku"]): r for r in table.collect()
     }
@@ -200,7 +209,7 @@ def test_import_table(spark):
     assert (above["name"], above["salesperson"], above["rep_notes"], above["tags"]) == ("", "", "", "")
     head = keyed[("JC-3.csv", 2, "A-M")]
     assert (head["name"], head["id"], head["salesperson"], head["tags"]) == (
-        "Xavier", "c1", o.SALES_REPS["JC"], o.ORDER_TAG,
+        "Xavier", "c1", REPS["JC"], o.ORDER_TAG,
     )
     assert head["rep_notes"] == (
         "SHIP DATE: 03/15/2026 | CUSTOMER MATCH: (Xavier --> c1) Exact match, company | first --- second"
@@ -220,7 +229,7 @@ def test_import_table(spark):
     assert sorted((r["customer"], r["raw_ship_date"]) for r in late) == [
         ("Yvonne", "ASAP"), ("Zoe", "(blank)"),
     ]
-    assert [tuple(r) for r in o.unknown_rep_files(groups).collect()] == [("XX-1.csv", "XX")]
+    assert [tuple(r) for r in o.unknown_rep_files(groups, REPS).collect()] == [("XX-1.csv", "XX")]
 
 
 def test_notes_of_a_long_order_stay_in_row_order(spark):
