@@ -323,6 +323,12 @@ def register(c: Catalog) -> None:
         """select k.size_col, k.size from (values ('s', 'S'), ('m', 'M'), ('l', 'L'), ('osfm', 'OSFM')) k(size_col, size)
            where k.size = 'OSFM' or k.size in (select size_abbreviation from master_kept)""",
     )
+    headed = ", ".join(f'{column} as "{header}"' for column, header in o.IMPORT_COLUMNS.items())
+    c.add(
+        "import_files",
+        lambda t: o.import_files(order_import(t)),
+        f"select file, {headed} from import_rows",
+    )
     c.add(
         "sheet_folder_items",
         sheet_folder,

@@ -1,7 +1,7 @@
 """The chains as jobs from stored tables to stored results.
 
-Each job reads what the extracts wrote below ``source`` and writes its tables
-below ``target``; tables later steps read are read back from there.
+The extracts write what the other jobs read below ``source``; each job writes its
+tables below ``target``; tables later steps read are read back from there.
 """
 
 from __future__ import annotations
@@ -17,8 +17,19 @@ from storelens.operators.joins import assert_unique
 from storelens.operators.reshape import size_columns
 from storelens.plans import maintenance, merchandising, order_sheets, segments
 from storelens.session import stage
-from storelens.sources.files import read_table, read_text_csvs, write_csv, write_table
-from storelens.sources.warehouse import since
+from storelens.sources.extract import run_extracts
+from storelens.sources.files import read_master_csv, read_table, read_text_csvs, write_csv, write_table
+from storelens.sources.pages import (
+    collection_positions,
+    membership_from_pages,
+    profiles_from_pages,
+    read_pages,
+    segments_from_pages,
+)
+from storelens.sources.warehouse import WAREHOUSE_TABLES, read_landed, scan_table, since
+
+# Fixed value: days of orders, lines and stock a merchandising extract covers.
+EXTRACT_DAYS = 30
 
 
 class _Folder:
@@ -38,6 +49,59 @@ class _Folder:
         write_csv(df, os.path.join(self.path, name))
 
 
+def extract_merchandising(
+    spark: SparkSession, landed: str, master: str, pages: str, target: str, as_of: datetime
+) -> DataFrame:
+    """What ``merchandising_report`` reads: the product master file, the warehouse
+    tables landed below ``landed``, those with dates for the trailing days, and
+    the landed search pages of all collections. Returns the rows written."""
+    bound = extract_since(as_of, EXTRACT_DAYS)
+    scan = _landed(spark, landed)
+    extracts = {
+        "master_sku": lambda: read_master_csv(spark, master),
+        "shopify_variants": lambda: scan("variants"),
+        "shopify_listings": lambda: scan("shopify_listings"),
+        "shopify_orders": lambda: scan("orders", bound),
+        "shopify_order_lines": lambda: scan("order_lines", bound),
+        "stock_daily": lambda: scan("stock_daily", bound),
+        "collections": lambda: collection_positions(read_pages(spark, pages)),
+    }
+    return run_extracts(spark, extracts, target, {"collections": "collection"})
+
+
+def extract_marketing(
+    spark: SparkSession, landed: str, segment_pages: str, profile_pages: str, target: str, since_day: datetime
+) -> DataFrame:
+    """What ``segment_tables`` reads, but for the campaigns, which are uploaded:
+    warehouse tables since a day, segments updated and profiles joined after it."""
+    scan = _landed(spark, landed)
+
+    def profiles() -> DataFrame:
+        return read_pages(spark, profile_pages)
+
+    extracts = {
+        "shopify_customers": lambda: scan("shopify_customers", since_day),
+        "shopify_orders": lambda: scan("orders", since_day),
+        "shopify_order_lines": lambda: scan("order_lines", since_day),
+        "shopify_variants": lambda: scan("variants"),
+        "shopify_listings": lambda: scan("shopify_listings"),
+        "segments": lambda: segments_from_pages(read_pages(spark, segment_pages), updated_after=since_day),
+        "profiles": lambda: profiles_from_pages(profiles(), joined_after=since_day),
+        "segment_membership": lambda: membership_from_pages(profiles(), joined_after=since_day),
+    }
+    return run_extracts(spark, extracts, target)
+
+
+def _landed(spark: SparkSession, folder: str):
+    """Scans of landed warehouse tables by their registered name."""
+
+    def scan(table: str, bound: datetime | None = None) -> DataFrame:
+        raw = read_landed(spark, os.path.join(folder, WAREHOUSE_TABLES[table][0]))
+        return scan_table(raw, table, bound)
+
+    return scan
+
+
 def merchandising_report(spark: SparkSession, source: str, target: str, as_of: datetime) -> None:
     """Variant and listing sales, summaries, collection tables and report tables."""
     have, out = _Folder(spark, source), _Folder(spark, target)

@@ -156,20 +156,19 @@ def segment_purchase_stats(
     membership: DataFrame,
     customers: DataFrame,
     orders: DataFrame,
-    order_has_one_customer: bool = True,
+    order_has_one_customer: bool = False,
 ) -> DataFrame:
     """Distinct members and orders, revenue and mean order value per segment.
 
     Orders collapse per customer, and members per (segment, customer), before
-    the two meet; the orders of members without a customer (null meets null)
-    are one row there instead of a product of both sides. Counting distinct
-    orders that way needs an order to belong to one customer; pass
-    ``order_has_one_customer=False`` to count (segment, order) pairs instead.
+    the two meet. Distinct orders are counted as (segment, order) pairs; where
+    an order is known to belong to one customer, ``order_has_one_customer=True``
+    adds up counts per customer instead, which saves a shuffle.
     """
     members = membership.filter(F.col("segment_id").isNotNull())
     owners = customers.select("profile_id", "customer_id")
     pairs = (
-        join_tables(members, owners, "profile_id", prune_right_nulls=True)
+        join_tables(members, owners, "profile_id")
         .groupBy("segment_id", "customer_id")
         .agg(F.count(F.lit(1)).alias("times"))
     )

@@ -2,8 +2,11 @@
 
 from storelens.catalog import merchandising as cm
 from storelens.catalog import segments as cs
+from storelens.catalog.intake import profile_pages, search_pages, segment_pages
 from storelens.catalog.views import AS_OF
-from storelens.plans import jobs
+from storelens.functions.dates import extract_since
+from storelens.plans import jobs, merchandising
+from storelens.sources.warehouse import since
 
 import pytest
 
@@ -35,6 +38,49 @@ def stored(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}")
 
 
+def test_extracts_feed_the_report(spark, tables, tmp_path):
+    landed = {"raw_shopify_variants": "variants", "raw_shopify_products": "shopify_listings", "raw_shopify_orders": "s_orders",
+              "stock_daily": "stock_daily"}
+    for name, view in landed.items():
+        getattr(tables, view).write.parquet(str(tmp_path / "landed" / name))
+    tables.order_lines.write.parquet(str(tmp_path / "landed" / "raw_shopify_order_lines"))
+    (tmp_path / "m.csv").write_text("SKU,EC,Unit Cost,Category-Group\nx-1,5,2,Rings\n")
+    search_pages(tables).write.json(str(tmp_path / "pages"))
+    counts = jobs.extract_merchandising(
+        spark, str(tmp_path / "landed"), str(tmp_path / "m.csv"), str(tmp_path / "pages"), str(tmp_path / "in"), AS_OF
+    )
+    written = {r["table_name"]: r["row_count"] for r in counts.collect()}
+    assert written["master_sku"] == 1 and written["shopify_variants"] == tables.variants.count()
+    assert written["collections"] == tables.searchspring_collection.count()
+    assert 0 < written["shopify_orders"] < tables.s_orders.count()
+    jobs.merchandising_report(spark, str(tmp_path / "in"), str(tmp_path / "out"), AS_OF)
+    recent = since(tables.order_lines, "created_at", extract_since(AS_OF, jobs.EXTRACT_DAYS))
+    sold = merchandising.variant_window_sales(recent, tables.s_orders, AS_OF).where("units_sold_30d > 0")
+    sold = sold.select("variant_id", "units_sold_30d", "order_count_30d")
+    known = sold.join(tables.variants.select("variant_id"), "variant_id", "left_semi")
+    found = stored(spark, tmp_path / "out", "variant_sales").where("units_sold_30d > 0").select(*sold.columns)
+    assert sorted(found.collect()) == sorted(known.collect()) and found.count() > 0
+
+
+def test_extract_marketing(spark, tables, tmp_path):
+    landed = {"raw_shopify_variants": "variants", "raw_shopify_products": "shopify_listings", "raw_shopify_orders": "s_orders",
+              "raw_shopify_customers": "shopify_customers"}
+    for name, view in landed.items():
+        getattr(tables, view).write.parquet(str(tmp_path / "landed" / name))
+    tables.order_lines.write.parquet(str(tmp_path / "landed" / "raw_shopify_order_lines"))
+    segment_pages(tables).write.json(str(tmp_path / "segments"))
+    profile_pages(tables).write.json(str(tmp_path / "profiles"))
+    long_ago = AS_OF.replace(year=1980)
+    counts = jobs.extract_marketing(
+        spark, str(tmp_path / "landed"), str(tmp_path / "segments"), str(tmp_path / "profiles"), str(tmp_path / "in"), long_ago
+    )
+    written = {r["table_name"]: r["row_count"] for r in counts.collect()}
+    assert written["segments"] == 5 and 0 < written["profiles"] <= written["segment_membership"]
+    tables.campaigns.write.parquet(str(tmp_path / "in" / "campaigns"))
+    jobs.segment_tables(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert stored(spark, tmp_path / "out", "f_segments").count() == 5
+
+
 def test_merchandising_report(spark, tables, source, tmp_path):
     jobs.merchandising_report(spark, source, str(tmp_path), AS_OF)
     listings = stored(spark, tmp_path, "listing_sales")
