@@ -159,24 +159,26 @@ def _shard(length: int):
         rows = list(seen.values())
         parts = [parts[i] for i in rows]
         shared, first = repeated_windows(parts, length)
-        out: list[list] = [[], [], [], [], []]
+        out: list[tuple] = []
         begin = 0
         for i, part in zip(rows, parts):
             windows = len(part) - length + 1
             own = np.concatenate([[0], shared[begin : begin + windows].astype(np.int8), [0]])
-            lows, highs = np.flatnonzero(np.diff(own) == 1), np.flatnonzero(np.diff(own) == -1)
-            for low, high in zip(lows.tolist(), highs.tolist()):
-                for column, value in zip(out, (picks[i], contents[i], low, high - 1, None)):
-                    column.append(value)
+            lows, highs = np.flatnonzero(np.diff(own) == 1), np.flatnonzero(np.diff(own) == -1) - 1
+            places, values = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
             if dealt[i]:
                 data = np.frombuffer(part, dtype=np.uint8)
-                at = np.flatnonzero(~shared[begin : begin + windows] | first[begin : begin + windows])
-                for place, value in zip(at.tolist(), RangeHash(data)(at, at + length).view(np.int64).tolist()):
-                    for column, x in zip(out, (picks[i], contents[i], place, place, value)):
-                        column.append(x)
+                places = np.flatnonzero(~shared[begin : begin + windows] | first[begin : begin + windows])
+                values = RangeHash(data)(places, places + length).view(np.int64)
+            if len(lows) or len(places):
+                out.append((picks[i], contents[i], lows, highs, places, values))
             begin += len(part) + 1
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
-        return pa.table(dict(zip(("pick", "content", "low", "high", "window"), map(pa.array, out, kinds))))
+        numbers, places = pa.int64(), pa.list_(pa.int32())
+        kinds = (numbers, numbers, places, places, places, pa.list_(numbers))
+        columns = list(zip(*out)) or [()] * 6
+        return pa.table(
+            dict(zip(("pick", "content", "lows", "highs", "places", "windows"), map(pa.array, columns, kinds)))
+        )
 
     return run
 
@@ -266,11 +268,16 @@ def remove_repeats(
     shared = (
         cut.withColumn("dealt", F.col("shard") < 0)
         .groupBy("shard")
-        .applyInArrow(_shard(length), "pick long, content long, low int, high int, window long")
+        .applyInArrow(
+            _shard(length),
+            "pick long, content long, lows array<int>, highs array<int>, places array<int>, windows array<long>",
+        )
     )
     shared = stage(shared, "repeats-shared")
-    within = shared.where("window is null").select("pick", "content", "low", "high")
-    across = shared.where("window is not null")
+    within = shared.select("pick", "content", F.inline(F.arrays_zip("lows", "highs")).alias("low", "high"))
+    across = shared.select(
+        "pick", "content", F.inline(F.arrays_zip("places", "windows")).alias("low", "window")
+    ).withColumn("high", F.col("low"))
     met = across.groupBy("pick", "window").agg(F.count("*").alias("k")).where("k > 1").select("pick", "window")
     across = across.join(met, ["pick", "window"], "left_semi").select("pick", "content", "low", "high")
     wholly = groups.where("k > 1").select(
