@@ -1,15 +1,15 @@
 """Secrets found by fixed rules and by a character convolutional network.
 
-The rules give three kinds of spans (assign, access, hex). Every span of a rule
-and every other long token with letters and digits is a candidate, and the
-network reads it with its surroundings. It is trained here, in numpy, on labelled
+The rules give three kinds of spans (assign, access, hex). Every long token with
+letters and digits is a candidate, whether rules touch it or not, and the network
+reads it with its surroundings. It is trained here, in numpy, on labelled
 findings: what the rules find in a bounded sample of documents, with its name
 taken away half of the time, keys generated in other shapes, and as the other
 class the candidates that no rule finds and generated addresses, links, versions
 and numbers. Its scores are calibrated on findings it was not trained on, and its
 threshold is the highest one that keeps the demanded recall there. Candidates
-above it that no rule covers are added as spans of kind ``model``; spans of the
-rules always stay.
+above it are added whole as spans of kind ``model`` unless rules cover every
+character of them; spans of the rules always stay.
 
 Nulls and empty texts have no spans. One row comes out per row, copies and null
 ids included; extra columns are ignored. Without training rows the generated
@@ -92,6 +92,15 @@ def window(text: str, start: int) -> np.ndarray:
     return out
 
 
+def covered(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
+    """Whether sorted spans leave no character of a range out."""
+    for a, b in spans:
+        if a > start:
+            break
+        start = max(start, b)
+    return start >= end
+
+
 @dataclass
 class Network:
     """Embedding by character, one convolution, maximum and mean over places."""
@@ -247,12 +256,12 @@ def all_spans(net: Network, texts: list[str]) -> list[list[tuple[int, int, int]]
     where, windows = [], []
     for i, text in enumerate(texts):
         for start, end in candidates(text):
-            if not any(s < end and start < e for s, _, e in spans[i]):
-                where.append((i, start, end))
-                windows.append(window(text, start))
+            where.append((i, start, end))
+            windows.append(window(text, start))
     if windows:
+        rules = [sorted((s, e) for s, _, e in own) for own in spans]
         for (i, start, end), score in zip(where, net.score(np.stack(windows))):
-            if score >= net.threshold:
+            if score >= net.threshold and not covered(start, end, rules[i]):
                 spans[i].append((start, KINDS.index("model"), end))
     return [sorted(own) for own in spans]
 
