@@ -2,14 +2,14 @@
 
 The rules give three kinds of spans (assign, access, hex). Every long token with
 letters and digits is a candidate, whether rules touch it or not, and the network
-reads it with its surroundings. It is trained here, in numpy, on labelled
+reads all of it with its surroundings: a window slides over the token, and the
+highest score of its places counts. It is trained here, in numpy, on labelled
 findings: what the rules find in a bounded sample of documents, with its name
 taken away half of the time, keys generated in other shapes, and as the other
 class the candidates that no rule finds and generated addresses, links, versions
 and numbers. Its scores are calibrated on findings it was not trained on, and its
-threshold is the highest one that keeps the demanded recall there. Candidates
-above it are added whole as spans of kind ``model`` unless rules cover every
-character of them; spans of the rules always stay.
+threshold is the highest one that keeps the demanded recall there. Candidates above it are added whole as spans of kind ``model``
+unless rules cover every character of them; spans of the rules always stay.
 
 Nulls and empty texts have no spans. One row comes out per row, copies and null
 ids included; extra columns are ignored. Without training rows the generated
@@ -43,6 +43,8 @@ _NAMES = ("passw", "secret", "token", "api")
 #: Any long run of the characters secrets consist of.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
 BEFORE, LENGTH = 24, 72
+#: The window moves on by so much, and to so far behind the candidate.
+STEP, AFTER = 24, 24
 #: Bounds of the training sample.
 SAMPLE_DOCUMENTS, SAMPLE_EACH = 4000, 1500
 RECALL = 0.98
@@ -83,7 +85,7 @@ def candidates(text: str) -> list[tuple[int, int]]:
 
 
 def window(text: str, start: int) -> np.ndarray:
-    """Character classes of a candidate's beginning and of what surrounds it."""
+    """Character classes of a place in a candidate and of what surrounds it."""
     part = text[max(0, start - BEFORE) : start - BEFORE + LENGTH]
     codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     out = np.zeros(LENGTH, dtype=np.uint8)
@@ -92,6 +94,12 @@ def window(text: str, start: int) -> np.ndarray:
     return out
 
 
+def places(start: int, end: int) -> range:
+    """Where windows begin that together hold a candidate and its surroundings."""
+    more = max(0, end + AFTER - (start + LENGTH - BEFORE))
+    return range(start, start + STEP * -(-more // STEP) + 1, STEP)
+
+
 def covered(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
     """Whether sorted spans leave no character of a range out."""
     for a, b in spans:
@@ -210,6 +218,40 @@ def generated(n: int, seed: int = 3) -> tuple[list[tuple[str, int]], list[int]]:
     return made, labels
 
 
+def generated_inside(n: int, seed: int = 4) -> tuple[list[tuple[str, int]], list[int]]:
+    """Labelled places in long links and paths, with a key in them and without."""
+    rng = np.random.default_rng(seed)
+    letters, digits = list("abcdefghijklmnopqrstuvwxyz"), list("0123456789")
+    keys = list(_CHARS[16:26] + _CHARS[33:59] + _CHARS[65:91])
+
+    def part() -> str:
+        kind = rng.integers(6)
+        if kind == 0:
+            return str(rng.integers(1, 2030))
+        name = "".join(rng.choice(letters, rng.integers(3, 11)))
+        if kind == 1:
+            return name + str(rng.choice(["-", "_", "."])) + "".join(rng.choice(letters, rng.integers(2, 9)))
+        return name + ("".join(rng.choice(digits, rng.integers(1, 4))) if kind == 2 else "")
+
+    def path(low: int, high: int) -> str:
+        return "/".join(part() for _ in range(rng.integers(low, high)))
+
+    made, labels = [], []
+    for i in range(n):
+        before = part() + str(rng.choice([" ", " see ", ": https:", "\n", ' "', " file:"]))
+        lead = "//" + path(2, 9) + "/"
+        key = "".join(rng.choice(keys, rng.integers(20, 45))) if i % 2 else part()
+        tail = str(rng.choice(["", "", ".html", "/" + path(1, 6), "=" + part()]))
+        text = before + lead + key + tail + str(rng.choice([" ", ". ", "\n", '" '])) + part() + " " + part()
+        at, end = len(before), len(before + lead + key)
+        found = [p for p in places(at, len(before + lead + key + tail))]
+        if i % 2:  # places whose window holds enough of the key
+            found = [p for p in found if min(end, p + LENGTH - BEFORE) - max(end - len(key), p - BEFORE) >= 20]
+        made.append((text, int(rng.choice(found))))
+        labels.append(i % 2)
+    return made, labels
+
+
 def _findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of candidates with the rules' verdict."""
     for batch in batches:
@@ -217,12 +259,17 @@ def _findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(0).to_pylist():
             spans = rule_spans(text)
             for start, end in candidates(text):
-                hit = any(a < end and start < b for a, _, b in spans)
-                windows.append(window(text, start).tobytes())
-                labels.append(int(hit))
-                if hit:  # and without its name, so that the value alone is learnt
-                    windows.append(window(" " * start + text[start:], start).tobytes())
-                    labels.append(1)
+                hits = [(a, b) for a, _, b in spans if a < end and start < b]
+                # without its name as well, so that the value alone is learnt
+                bare = " " * start + text[start:] if hits else text
+                for at in places(start, end):
+                    low, high = max(start, at - BEFORE), min(end, at + LENGTH - BEFORE)
+                    seen = [min(b, high) - max(a, low) >= min(20, b - max(a, start)) for a, b in hits]
+                    if hits and not any(seen):
+                        continue  # the rest of a token that a rule touches may be either
+                    for own in {text, bare}:
+                        windows.append(window(own, at).tobytes())
+                        labels.append(int(bool(hits)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(windows, pa.binary()), pa.array(labels, pa.int32())], names=["window", "label"]
         )
@@ -237,7 +284,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Network:
     for label in (0, 1):
         one = found.where(F.col("label") == label).orderBy(F.xxhash64("window"), "window").limit(SAMPLE_EACH)
         rows += one.collect()
-    made, labels = generated(2 * SAMPLE_EACH)
+    made, labels = (a + b for a, b in zip(generated(2 * SAMPLE_EACH), generated_inside(2 * SAMPLE_EACH)))
     x = [np.frombuffer(r["window"], np.uint8) for r in rows] + [window(t, at) for t, at in made]
     y = [r["label"] for r in rows] + labels
     return fit(np.stack(x), np.array(y, dtype=float))
@@ -256,11 +303,12 @@ def all_spans(net: Network, texts: list[str]) -> list[list[tuple[int, int, int]]
     where, windows = [], []
     for i, text in enumerate(texts):
         for start, end in candidates(text):
-            where.append((i, start, end))
-            windows.append(window(text, start))
+            where.append((i, start, end, len(windows)))
+            windows += [window(text, at) for at in places(start, end)]
     if windows:
+        best = np.maximum.reduceat(net.score(np.stack(windows)), [first for *_, first in where])
         rules = [sorted((s, e) for s, _, e in own) for own in spans]
-        for (i, start, end), score in zip(where, net.score(np.stack(windows))):
+        for (i, start, end, _), score in zip(where, best):
             if score >= net.threshold and not covered(start, end, rules[i]):
                 spans[i].append((start, KINDS.index("model"), end))
     return [sorted(own) for own in spans]
