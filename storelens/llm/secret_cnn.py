@@ -8,7 +8,8 @@ findings: what the rules find in a bounded sample of documents, with its name
 taken away half of the time, keys generated in other shapes, and as the other
 class the candidates that no rule finds and generated addresses, links, versions
 and numbers. Its scores are calibrated on findings it was not trained on, and its
-threshold is the highest one that keeps the demanded recall there. Candidates above it are added whole as spans of kind ``model``
+threshold is the highest one that keeps the demanded recall there, on those that
+no rule catches. Candidates above it are added whole as spans of kind ``model``
 unless rules cover every character of them; spans of the rules always stay.
 
 Nulls and empty texts have no spans. One row comes out per row, copies and null
@@ -120,6 +121,7 @@ class Network:
     scale: float = 1.0
     shift: float = 0.0
     threshold: float = 0.5
+    recall: float = float("nan")  # at the threshold, on held-out findings
 
     def _forward(self, x: np.ndarray):
         width = len(self.kernel)
@@ -136,8 +138,11 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.scale * logits + self.shift, -60, 60)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, filters: int = 16, width: int = 5, epochs: int = 8, seed: int = 5) -> Network:
-    """Trains on three quarters of the findings, calibrates on the others."""
+def fit(
+    x: np.ndarray, y: np.ndarray, own: np.ndarray, filters: int = 16, width: int = 5, epochs: int = 8, seed: int = 5
+) -> Network:
+    """Trains on three quarters of the findings, calibrates on the others. ``own``
+    marks the secrets that no rule catches; the threshold keeps RECALL of them."""
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(x))
     held, order = order[: len(x) // 4], order[len(x) // 4 :]
@@ -177,8 +182,10 @@ def fit(x: np.ndarray, y: np.ndarray, filters: int = 16, width: int = 5, epochs:
         miss = p - np.where(truth == 1, 0.99, 0.01)
         net.scale -= 0.1 * float((miss * logits).mean())
         net.shift -= 0.1 * float(miss.mean())
-    scores = np.sort(net.score(x[held][truth == 1]))
-    net.threshold = max(0.5, float(scores[int((1 - RECALL) * len(scores))])) if len(scores) else 0.5
+    scores = np.sort(net.score(x[held][own[held]]))
+    if len(scores):
+        net.threshold = float(scores[int((1 - RECALL) * len(scores))])
+        net.recall = float((scores >= net.threshold).mean())
     return net
 
 
@@ -287,7 +294,8 @@ def train(docs: DataFrame, text_col: str = "text") -> Network:
     made, labels = (a + b for a, b in zip(generated(2 * SAMPLE_EACH), generated_inside(2 * SAMPLE_EACH)))
     x = [np.frombuffer(r["window"], np.uint8) for r in rows] + [window(t, at) for t, at in made]
     y = [r["label"] for r in rows] + labels
-    return fit(np.stack(x), np.array(y, dtype=float))
+    own = [False] * len(rows) + [bool(label) and not rule_spans(t) for (t, _), label in zip(made, labels)]
+    return fit(np.stack(x), np.array(y, dtype=float), np.array(own))
 
 
 def _sample(texts: DataFrame) -> DataFrame:
