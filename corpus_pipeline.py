@@ -40,7 +40,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap a benchmark text go."""
-    return _without(docs, contaminated(docs, read(spark, sf_dir, "benchmark")))
+    return _without(docs, contaminated(docs, read(spark, sf_dir, "benchmark"), shortest=1))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"), shortest=1)
 
 
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:

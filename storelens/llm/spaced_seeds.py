@@ -1,15 +1,21 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a fixed mask over neighbouring words; the positions it leaves out may
-differ between a document and a benchmark text, so a replaced word costs no hit
-as long as one of the masks skips it. Seeds of both sides meet in an equi join;
+A seed is a fixed mask over neighbouring words; the position it leaves out may
+differ between a document and a benchmark text. The masks follow from the rule by
+which an overlap is accepted, so that every overlap it accepts holds a seed: an
+overlap ends where its gain is largest, hence with as many equal words at least as
+a replaced word costs, and its last two runs of equal words together have as many
+as two replaced words cost. Either the last run alone is that long, or a mask skips
+the replaced word before it. Seeds of both sides meet in an equi join;
 a filter of fixed size made of the benchmark's seeds keeps nearly all others of a
 document from being shuffled. Each hit fixes how the two texts lie against each
 other, and the overlap around it is compared word by word: replaced words are
 tolerated, up to a share.
 
-A benchmark text shorter than the masks is one seed of all its words; one of
-fewer than five words is not searched for. Nulls and empty texts have no seeds.
+A benchmark text of which fewer equal words are enough is searched by runs of so
+many, one of up to four words (at the usual values) by all its words; texts below
+``shortest`` words are not searched for, the queries search for all. Nulls and
+empty texts have no seeds.
 Documents and items without an id take no part. The same document or item twice
 gives the same findings once. Extra columns are ignored.
 """
@@ -26,16 +32,31 @@ from pyspark.sql import functions as F
 from storelens.llm.frames import prepared, rows_as, stage
 from storelens.llm.textbytes import LOWER, RangeHash, batch_slices, find_words, mix
 
-#: Which of twelve neighbouring words a seed looks at.
-MASKS = ("110110010111", "101101110011", "111011001101", "110101101101")
-SPAN = 12
-LEAST_WORDS = 5
 #: Bits of the filter: its size does not depend on the benchmark's.
 FILTER_BITS = 24
 PROBES = 3
 #: An overlap counts from so many equal words (or the whole text if shorter) on.
 OVERLAP_WORDS = 10
 SIMILARITY = 0.8
+#: Shorter benchmark texts are left out unless asked for.
+LEAST_WORDS = 5
+
+
+def needed(words: int, least: int, similarity: float) -> int:
+    """How many equal words make an overlap with a text of so many words count."""
+    return int(min(least, np.ceil(similarity * words)))
+
+
+def masks_of(words: int, least: int, similarity: float) -> list[str]:
+    """Which neighbouring words the seeds of a text of so many words look at: every
+    overlap of it that counts has one of these masks with equal words only."""
+    cost = similarity / (1 - similarity) - 1e-9
+    last, both = int(cost) + 1, int(2 * cost) + 1  # words of the last run, of the last two
+    enough = max(needed(words, least, similarity), 1)
+    masks = ["1" * min(both, enough)]
+    if words > both:
+        masks += ["1" * (both - n) + "0" + "1" * n for n in range(last, both)]
+    return masks
 
 
 def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,31 +82,31 @@ def _windows(first: np.ndarray, size: int) -> np.ndarray:
     return np.repeat(first[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
 
 
-def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for kept, offsets, data in batch_slices(batches, "text", ["item_id"]):
-        hashes, first = word_hashes(offsets, data)
-        sizes = np.diff(first)
-        rows, places, seeds = [], [], []
-        for mask in MASKS:
-            at = _windows(first, SPAN)
-            rows.append(np.searchsorted(first, at, "right") - 1)
-            places.append(at - first[rows[-1]])
-            seeds.append(_seeded(hashes, mask)[at])
-        short = np.flatnonzero((sizes >= LEAST_WORDS) & (sizes < SPAN))
-        rows.append(short)
-        places.append(np.zeros(len(short), dtype=np.int64))
-        whole = [_seeded(hashes[first[r] : first[r + 1]], "1" * int(sizes[r])) for r in short]
-        seeds.append(np.concatenate([*whole, np.zeros(0, np.uint64)]))
-        rows = np.concatenate(rows)
-        yield pa.RecordBatch.from_arrays(
-            [
-                kept.column(0).take(pa.array(rows)),
-                pa.array(np.concatenate(places)),
-                pa.array(np.concatenate(seeds).view(np.int64)),
-                pa.array(np.minimum(sizes[rows], SPAN).astype(np.int32)),
-            ],
-            names=["item_id", "q", "seed", "span"],
-        )
+def _item_seeds(least: int, similarity: float, shortest: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kept, offsets, data in batch_slices(batches, "text", ["item_id"]):
+            hashes, first = word_hashes(offsets, data)
+            sizes = np.diff(first)
+            users: dict[str, list[int]] = {}  # the sizes of texts that use a mask
+            for size in np.unique(sizes[sizes >= max(shortest, 1)]).tolist():
+                for mask in masks_of(size, least, similarity):
+                    users.setdefault(mask, []).append(size)
+            for mask, own in users.items():
+                at = _windows(first, len(mask))
+                rows = np.searchsorted(first, at, "right") - 1
+                used = np.isin(sizes[rows], own)
+                at, rows = at[used], rows[used]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        kept.column(0).take(pa.array(rows)),
+                        pa.array(at - first[rows]),
+                        pa.array(_seeded(hashes, mask)[at].view(np.int64)),
+                        pa.array([mask] * len(at), pa.string()),
+                    ],
+                    names=["item_id", "q", "seed", "mask"],
+                )
+
+    return run
 
 
 def _probe(seeds: np.ndarray, turn: int) -> np.ndarray:
@@ -101,8 +122,10 @@ def _probe_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _scan(filter_words: np.ndarray, spans: list[int]):
-    masks = [m for m in MASKS if SPAN in spans] + ["1" * s for s in spans if s < SPAN]
+def _scan(filter_words: np.ndarray, masks: list[str], least: int, similarity: float):
+    # masks that only texts use which they cover: any place of such a text is as
+    # good as its last one, so that a common word is one hit of a document
+    whole = {m for m in masks if needed(len(m) + 1, least, similarity) > len(m) and needed(len(m), least, similarity) == len(m)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(filter_words.view(np.uint8), bitorder="little").view(bool)
@@ -115,6 +138,9 @@ def _scan(filter_words: np.ndarray, spans: list[int]):
                 for turn in range(PROBES):
                     inside = bits[_probe(own, turn)]
                     at, own = at[inside], own[inside]
+                if mask in whole:
+                    key = np.stack([np.searchsorted(first, at, "right"), own.view(np.int64)])[:, ::-1]
+                    at, own = (v[::-1][np.unique(key, axis=1, return_index=True)[1]] for v in (at, own))
                 places.append(at)
                 seeds.append(own)
             places = np.concatenate([*places, np.zeros(0, np.int64)])
@@ -168,7 +194,7 @@ def _verify(least: int, similarity: float):
             for row, shifts in enumerate(batch.column(4).to_pylist()):
                 document, item = documents[row], items[row]
                 best = max(overlap(document, item, s, similarity) for s in shifts)
-                if best[0] >= min(least, np.ceil(similarity * len(item))):
+                if best[0] >= needed(len(item), least, similarity):
                     rows.append(row)
                     found.append(best)
             kept = batch.select([0, 1]).take(pa.array(rows, pa.int64()))
@@ -189,6 +215,7 @@ def contaminated(
     item_text_col: str = "text",
     least: int = OVERLAP_WORDS,
     similarity: float = SIMILARITY,
+    shortest: int = LEAST_WORDS,
 ) -> DataFrame:
     """(doc_id, item_id, n_equal, start_word, end_word) of every document that
     overlaps a benchmark text, with the largest overlap."""
@@ -197,18 +224,19 @@ def contaminated(
     items = rows_as(benchmark, item_id=item_col, text=item_text_col)
     items = items.where("item_id is not null and text is not null").distinct()
     ids, item_ids = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
-    seeds = items.mapInArrow(_item_seeds, f"item_id {item_ids}, q long, seed long, span int")
+    seeds = items.mapInArrow(_item_seeds(least, similarity, shortest), f"item_id {item_ids}, q long, seed long, mask string")
     seeds = stage(seeds, "seeds-benchmark")
-    # at most 2^FILTER_BITS / 32 rows and twelve spans, whatever the benchmark's size
+    # at most 2^FILTER_BITS / 32 rows and a few masks, whatever the benchmark's size
     words = seeds.select("seed").mapInArrow(_probe_words, "place long, bit long")
     words = words.groupBy("place").agg(F.bit_or("bit").alias("bits")).collect()
     filter_words = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
     filter_words[[w["place"] for w in words]] = [w["bits"] for w in words]
-    spans = sorted(r["span"] for r in seeds.select("span").distinct().collect())
+    masks = sorted(r["mask"] for r in seeds.select("mask").distinct().collect())
     hits = docs.mapInArrow(
-        _scan(filter_words, spans), f"doc_id {ids}, text string, p array<long>, seed array<long>"
+        _scan(filter_words, masks, least, similarity), f"doc_id {ids}, text string, p array<long>, seed array<long>"
     )
     hits = stage(hits, "seeds-hits")
+    seeds = seeds.select("item_id", "q", "seed")
     each = hits.select("doc_id", F.explode(F.arrays_zip("p", "seed")).alias("h"))
     each = each.select("doc_id", F.col("h.p").alias("p"), F.col("h.seed").alias("seed"))
     shifts = each.join(seeds, "seed").groupBy("doc_id", "item_id").agg(
