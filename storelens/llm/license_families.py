@@ -1,6 +1,6 @@
 """Licence notices in documents, by a trained paragraph classifier.
 
-A paragraph is a line. Its words, and runs of two and three of them, are hashed
+A paragraph is a line, or the lines over which a notice is wrapped. Its words, and runs of two and three of them, are hashed
 to sparse features of a multinomial logistic regression over licence families
 and an unknown class. It is trained here on the families' usual notices with
 words dropped, doubled and put around them, and on other paragraphs: invented ones
@@ -11,6 +11,13 @@ paragraph is reported if a family is likelier than the unknown class and all
 others by a margin, and a template of that family confirms it: most of the
 template's runs of two words occur in the paragraph.
 
+Wrapped notices are looked for in runs of lines that each have a word, so a blank
+line or a bare comment sign ends them. Windows of a template's length, with some
+room for comment words, slide over the words of such a run; one that holds most of
+the template's runs of two words and reaches over a line end is classified and
+confirmed as a paragraph of its own, reported from its first to its last line.
+What a single line already says, it does not say again.
+
 Nulls and empty texts have no paragraphs. Documents without an id are reported
 with a null id; the same row twice is reported twice; extra columns are ignored.
 """
@@ -101,6 +108,8 @@ BITS = 18
 FAMILIES = (*TEMPLATES, "unknown")
 #: A family's probability must be so much, and so much of a template be found.
 CONFIDENCE, CONFIRMED = 0.6, 0.7
+#: Words more than a template, half of its own and so many, that a wrapped one may have.
+ROOM = 6
 #: Bound of the sample of other paragraphs.
 SAMPLE_DOCUMENTS, SAMPLE_LINES = 1000, 3000
 
@@ -110,8 +119,10 @@ _PLAIN[[b for b in range(128) if not chr(b).isalnum() and b != 0x0A]] = 0x20
 
 
 def line_features(offsets: np.ndarray, data: np.ndarray):
-    """(row, start, end) of each line with a word, and its features: for each word,
-    run of two and run of three a line number and a 64-bit hash, by size of run."""
+    """(row, start, end) of each line with a word, its features: for each word, run
+    of two and run of three a line number and a 64-bit hash, by size of run; and the
+    words: for each its place in the bytes, end, number of its line among these lines
+    and among all lines, and the hash of it and the next word, whatever the line."""
     plain = _PLAIN[data]
     words = find_words(offsets, plain)
     hashes = RangeHash(plain)(words.starts, words.ends)
@@ -123,18 +134,19 @@ def line_features(offsets: np.ndarray, data: np.ndarray):
     row = np.searchsorted(offsets, starts[used], "right") - 1
     following = np.append(starts, len(data))[used + 1] if len(used) else starts[:0]
     ends = np.minimum(following, offsets[row + 1]) if len(used) else following
-    runs, grown = [(number, mix(hashes + np.uint64(1)))], hashes
+    runs, grown, pairs = [(number, mix(hashes + np.uint64(1)))], hashes, hashes[:0]
     for size in (2, 3):
         grown = mix(grown[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[size - 1 :])
         # runs across lines stay in ``grown``, so that places stay aligned
         whole = number[: len(grown)] == number[size - 1 :]
         runs.append((number[: len(grown)][whole], grown[whole] + np.uint64(size)))
-    return row, starts[used], ends, runs
+        pairs = grown + np.uint64(size) if size == 2 else pairs
+    return row, starts[used], ends, runs, (words.starts, words.ends, number, line, pairs)
 
 
 def _of_lines(lines: list[str]):
     data = np.frombuffer("\n".join(lines).encode(), dtype=np.uint8)
-    return line_features(np.array([0, len(data)]), data)
+    return line_features(np.array([0, len(data)]), data)[:4]
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -147,6 +159,7 @@ class Classifier:
     bias: np.ndarray
     temperature: float
     templates: list[list[np.ndarray]]  # by family, the two-word runs of each
+    lengths: list[list[int]]  # by family, the words of each
 
     def probabilities(self, lines: int, runs) -> np.ndarray:
         logits = np.tile(self.bias, (lines, 1))
@@ -163,6 +176,43 @@ class Classifier:
     def __post_init__(self):
         self.known = self.weights.any(axis=1)
 
+    def wrapped(self, row: np.ndarray, words) -> list[tuple[int, int]]:
+        """(first, last word) of the places that hold most of a template's runs of
+        two words and reach over a line end."""
+        _, _, number, line, pairs = words
+        if len(pairs) == 0:
+            return []
+        # a run of lines with words in one row
+        fresh = (np.diff(line) > 1) | (np.diff(row[number]) > 0)
+        part = np.concatenate([[0], np.cumsum(fresh)])
+        known = np.unique(np.concatenate([t for own in self.templates for t in own]))
+        table = np.zeros(1 << BITS, dtype=bool)
+        table[_bucket(known)] = True
+        places = np.flatnonzero(table[_bucket(pairs)] & ~fresh)
+        places = places[np.isin(pairs[places], known)]
+        found = set()
+        for own, lengths in zip(self.templates, self.lengths):
+            for template, length in zip(own, lengths):
+                at = places[np.isin(pairs[places], template)]
+                least = int(np.ceil(CONFIRMED * len(template)))
+                width = length + length // 2 + ROOM
+                stops = np.searchsorted(at, at + width)
+                stops = np.minimum(stops, np.searchsorted(part[at], part[at], "right"))
+                kept = []
+                for i in np.flatnonzero(stops - np.arange(len(at)) >= least).tolist():
+                    inside = at[i : stops[i]]
+                    value, first = np.unique(pairs[inside], return_index=True)
+                    if len(value) >= least:
+                        # up to where the last of the runs has been seen
+                        kept.append((-len(value), int(inside[first.max()] - at[i]), int(at[i])))
+                free = []
+                for _, size, begin in sorted(kept):  # the fullest first, the others beside them
+                    end = begin + size + 1
+                    if all(end < a or b < begin for a, b in free):
+                        free.append((begin, end))
+                found |= {(a, b) for a, b in free if number[a] != number[b]}
+        return sorted(found)
+
     def confirm(self, family: int, pairs: np.ndarray) -> float:
         """The largest share of a template's two-word runs that the line has."""
         return max(float(np.isin(t, pairs).mean()) for t in self.templates[family])
@@ -231,10 +281,11 @@ def fit(others: list[str], epochs: int = 60, seed: int = 4) -> Classifier:
     losses = {t: -np.log(_softmax(logits / t)[np.arange(held.sum()), labels[held]] + 1e-12).mean() for t in np.geomspace(0.25, 8, 31)}
     weights = np.zeros((1 << BITS, len(FAMILIES)), dtype=np.float32)
     weights[used] = w
-    templates = []
+    templates, lengths = [], []
     for notices in TEMPLATES.values():
         templates.append([np.unique(_of_lines([n])[3][1][1]) for n in notices])
-    return Classifier(weights, bias, float(min(losses, key=losses.get)), templates)
+        lengths.append([len(_of_lines([n])[3][0][1]) for n in notices])
+    return Classifier(weights, bias, float(min(losses, key=losses.get)), templates, lengths)
 
 
 def train(docs: DataFrame, text_col: str = "text") -> Classifier:
@@ -255,6 +306,19 @@ def train(docs: DataFrame, text_col: str = "text") -> Classifier:
     return fit(others)
 
 
+def _notices(classifier: Classifier, lines: int, runs) -> Iterator[tuple[int, int, float, float]]:
+    """(line, family, probability, confirmed share) of the lines that are notices."""
+    chances = classifier.probabilities(lines, runs)
+    best = chances.argmax(axis=1) if lines else np.zeros(0, dtype=np.int64)
+    likely = np.flatnonzero((best < len(FAMILIES) - 1) & (chances.max(axis=1, initial=0) >= CONFIDENCE))
+    number, pairs = runs[1]
+    for i in likely.tolist():
+        low, high = np.searchsorted(number, [i, i + 1])
+        share = classifier.confirm(int(best[i]), pairs[low:high])
+        if share >= CONFIRMED:
+            yield i, int(best[i]), chances[i, best[i]], share
+
+
 def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, start_byte, end_byte, family, probability, confirmed) of every
     paragraph that is a licence notice; ``confirmed`` is the template's share."""
@@ -264,18 +328,32 @@ def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kept, offsets, data in batch_slices(batches, "text", ["doc_id"]):
-            row, starts, ends, runs = line_features(offsets, data)
-            chances = classifier.probabilities(len(row), runs)
-            best = chances.argmax(axis=1) if len(row) else np.zeros(0, dtype=np.int64)
-            likely = np.flatnonzero((best < len(FAMILIES) - 1) & (chances.max(axis=1, initial=0) >= CONFIDENCE))
-            out = []
-            number, pairs = runs[1]
-            for i in likely.tolist():
-                low, high = np.searchsorted(number, [i, i + 1])
-                share = classifier.confirm(int(best[i]), pairs[low:high])
-                if share >= CONFIRMED:
-                    begin = offsets[row[i]]
-                    out.append((row[i], starts[i] - begin, ends[i] - begin, FAMILIES[best[i]], chances[i, best[i]], share))
+            row, starts, ends, runs, words = line_features(offsets, data)
+            out, said = [], set()
+            for i, family, chance, share in _notices(classifier, len(row), runs):
+                begin = offsets[row[i]]
+                said.add((i, family))
+                out.append((row[i], starts[i] - begin, ends[i] - begin, FAMILIES[family], chance, share))
+            places = classifier.wrapped(row, words)
+            texts = [data[words[0][a] : words[1][b]] for a, b in places]
+            # each place as a line of its own
+            joined = [np.append(np.where((t == 0x0A) | (t == 0x0D), 0x20, t), 0x0A).astype(np.uint8) for t in texts]
+            if joined:
+                own = line_features(np.array([0, sum(map(len, joined))]), np.concatenate(joined))
+                wrapped = []
+                for i, family, chance, share in _notices(classifier, len(places), own[3]):
+                    first, last = (int(words[2][w]) for w in places[i])
+                    wrapped.append((-share, -chance, *places[i], first, last, family))
+                taken: list[tuple[int, int]] = []
+                for share, chance, low, high, first, last, family in sorted(wrapped):
+                    # of places that overlap, the one that has most of a template
+                    if any(low <= b and a <= high for a, b in taken):
+                        continue
+                    taken.append((low, high))
+                    if any((line, family) in said for line in range(first, last + 1)):
+                        continue
+                    begin = offsets[row[first]]
+                    out.append((row[first], starts[first] - begin, ends[last] - begin, FAMILIES[family], -chance, -share))
             columns = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [
