@@ -191,7 +191,8 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", label_id_col: str = "doc_id") -> Model:
     """Fits on at most SAMPLE_DOCUMENTS labelled documents that are not held out,
-    chosen by a hash of their id, half of each class if there are as many."""
+    chosen by a hash of their id, half of each class if there are as many; of rows
+    with the same id, the one with the smallest text."""
     docs = rows_as(docs, doc_id=id_col, text=text_col).where("doc_id is not null")
     marks = rows_as(labels, doc_id=label_id_col, label=label_col).where("label is not null and doc_id is not null")
     marks = marks.where(~held_out()).groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
@@ -201,7 +202,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         one = marks.where(F.col("label") == label).orderBy(*order).limit(SAMPLE_DOCUMENTS // 2)
         chosen = one if chosen is None else chosen.union(one)
     # at most SAMPLE_DOCUMENTS rows of two numbers, so they can go to every task
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    rows = docs.join(F.broadcast(chosen), "doc_id")
+    # one row per id, so that a repeated one counts once
+    rows = rows.groupBy("doc_id").agg(F.first("label").alias("label"), F.min("text").alias("text"))
     rows = rows.select("label", "text").mapInArrow(_described, "label int, bag binary").collect()
     bags = sorted((r["bag"], r["label"]) for r in rows)
     if not bags:
