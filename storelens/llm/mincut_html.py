@@ -45,8 +45,9 @@ INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "del", "dfn",
 #: An element that a new one of the listed kinds ends.
 ENDS = {"p": {"p", "div", "ul", "ol", "li", "table", "section", "article", "aside", "nav", "footer", "header", "form",
               "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "main", "hr", "dl", "figure"},
-        "head": {"body", "header", "nav", "main", "article", "section", "div", "p", "h1", "h2", "ul", "table", "form", "footer"},
         "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
+#: What a head may hold; anything else, and text outside these, ends it.
+IN_HEAD = {"title", "meta", "link", "base", "script", "style", "noscript", "template"}
 # Words in container names that say what a container is.
 GOOD = {"article", "main", "content", "post", "entry", "story", "body-text", "articlebody"}
 BAD = {"nav", "footer", "aside", "form", "header", "menu", "sidebar", "ad", "ads", "advert", "advertisement", "banner",
@@ -88,7 +89,16 @@ class BlockReader(HTMLParser):
             self.blocks.append(Block(text, path, names, self.linked))
         self.parts, self.linked = [], 0
 
+    def _in_head(self) -> bool:
+        """Whether the innermost open element is the head."""
+        return bool(self.open) and self.open[-1][0] == "head"
+
     def handle_starttag(self, tag, attrs):
+        if self._in_head():
+            if tag in ("html", "head"):
+                return
+            if tag not in IN_HEAD:
+                self._close("head")
         if tag == "br":
             self.parts.append(" ")
             return
@@ -128,6 +138,8 @@ class BlockReader(HTMLParser):
                 break
 
     def handle_data(self, data):
+        if data.strip() and self._in_head():
+            self._close("head")
         if any(tag in SILENT for tag, _, _ in self.open):
             return
         self.parts.append(data)
