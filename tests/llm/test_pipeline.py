@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")  and n[2].isdigit()}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")  and n[2].isdigit()}
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None
 
 
@@ -60,7 +60,7 @@ def test_whole_pipeline(spark):
 @pytest.fixture(scope="module")
 def nothing(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("nothing")
-    for table in ("documents", "labels", "benchmark", "pages"):
+    for table in ("documents", "labels", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"{SMALL}/{table}.parquet").limit(0).write.parquet(os.path.join(folder, f"{table}.parquet"))
     return str(folder)
 
