@@ -17,7 +17,8 @@ from storelens.operators.joins import assert_unique
 from storelens.operators.reshape import size_columns
 from storelens.plans import maintenance, merchandising, order_sheets, segments
 from storelens.session import stage
-from storelens.sources.extract import run_extracts
+from storelens.sources.dated import day_column, open_days, read_layout, since_day
+from storelens.sources.extract import ByDay, run_extracts
 from storelens.sources.files import read_master_csv, read_table, read_text_csvs, write_csv, write_table
 from storelens.sources.pages import (
     collection_positions,
@@ -31,6 +32,10 @@ from storelens.sources.warehouse import WAREHOUSE_TABLES, read_landed, scan_tabl
 # Fixed value: days of orders, lines and stock a merchandising extract covers.
 EXTRACT_DAYS = 30
 
+#: Buckets of the orders and lines of a day; choose them once for a target, so
+#: that a bucket of the trailing days fits into a task.
+ORDER_BUCKETS = 64
+
 
 class _Folder:
     """Stored tables of one folder by name."""
@@ -39,7 +44,9 @@ class _Folder:
         self.spark, self.path = spark, path
 
     def __getitem__(self, name: str) -> DataFrame:
-        return read_table(self.spark, os.path.join(self.path, name))
+        path = os.path.join(self.path, name)
+        by_day = read_layout(self.spark, path) is not None
+        return open_days(self.spark, path) if by_day else read_table(self.spark, path)
 
     def write(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         write_table(df, os.path.join(self.path, name), partition_by)
@@ -50,23 +57,39 @@ class _Folder:
 
 
 def extract_merchandising(
-    spark: SparkSession, landed: str, master: str, pages: str, target: str, as_of: datetime
+    spark: SparkSession,
+    landed: str,
+    master: str,
+    pages: str,
+    target: str,
+    as_of: datetime,
+    buckets: int = ORDER_BUCKETS,
 ) -> DataFrame:
     """What ``merchandising_report`` reads: the product master file, the warehouse
     tables landed below ``landed``, those with dates for the trailing days, and
-    the landed search pages of all collections. Returns the rows written."""
+    the landed search pages of all collections. Returns the rows written.
+
+    Orders, lines and stock are stored by day: a run replaces the trailing days
+    and keeps older ones. Orders and lines are bucketed by order, so that the
+    report joins them where they are."""
     bound = extract_since(as_of, EXTRACT_DAYS)
     scan = _landed(spark, landed)
+    orders = ByDay("created_at", bound.date(), "order_id", buckets)
+    by_day = {
+        "shopify_orders": orders,
+        "shopify_order_lines": orders,
+        "stock_daily": ByDay("snapshot_date", bound.date()),
+    }
     extracts = {
         "master_sku": lambda: read_master_csv(spark, master),
         "shopify_variants": lambda: scan("variants"),
         "shopify_listings": lambda: scan("shopify_listings"),
-        "shopify_orders": lambda: scan("orders", bound),
-        "shopify_order_lines": lambda: scan("order_lines", bound),
-        "stock_daily": lambda: scan("stock_daily", bound),
+        "shopify_orders": lambda: scan("orders", bound, by_day=True),
+        "shopify_order_lines": lambda: scan("order_lines", bound, by_day=True),
+        "stock_daily": lambda: scan("stock_daily", bound, by_day=True),
         "collections": lambda: collection_positions(read_pages(spark, pages)),
     }
-    return run_extracts(spark, extracts, target, {"collections": "collection"})
+    return run_extracts(spark, extracts, target, {"collections": "collection"}, by_day)
 
 
 def extract_marketing(
@@ -95,9 +118,9 @@ def extract_marketing(
 def _landed(spark: SparkSession, folder: str):
     """Scans of landed warehouse tables by their registered name."""
 
-    def scan(table: str, bound: datetime | None = None) -> DataFrame:
+    def scan(table: str, bound: datetime | None = None, by_day: bool = False) -> DataFrame:
         raw = read_landed(spark, os.path.join(folder, WAREHOUSE_TABLES[table][0]))
-        return scan_table(raw, table, bound)
+        return scan_table(raw, table, bound, by_day)
 
     return scan
 
@@ -105,8 +128,12 @@ def _landed(spark: SparkSession, folder: str):
 def merchandising_report(spark: SparkSession, source: str, target: str, as_of: datetime) -> None:
     """Variant and listing sales, summaries, collection tables and report tables."""
     have, out = _Folder(spark, source), _Folder(spark, target)
+    lines = have["shopify_order_lines"]
+    if day_column("created_at") in lines.columns:
+        # what the extract as of this moment covers, whatever else is stored
+        lines = since_day(lines, "created_at", extract_since(as_of, EXTRACT_DAYS))
     variants = merchandising.variant_sales(
-        have["shopify_order_lines"],
+        lines,
         have["shopify_orders"],
         have["shopify_variants"],
         have["master_sku"],

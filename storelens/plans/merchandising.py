@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +28,7 @@ from storelens.functions.text import title_words
 from storelens.operators.cleaning import id_columns_first
 from storelens.operators.joins import join_tables, match_stats, spread_join
 from storelens.operators.ordering import average_rank, top_per_group
+from storelens.sources.dated import latest_rows, since_day
 
 # Report parameters.
 WINDOWS = (30, 14, 7)
@@ -72,52 +73,55 @@ def variant_window_sales(
 ) -> DataFrame:
     """Units, revenue, orders and revenue per unit of each variant per trailing window.
 
-    All windows come out of one pass. Lines meet the recent orders first, in one
-    shuffle by order on which older lines are left behind, and collapse per
-    (order, variant) where they are; distinct orders are a plain count then.
+    All windows come out of one pass. Lines meet the recent orders, then collapse
+    per (order, variant) where they are; distinct orders are a plain count then.
+    Tables bucketed by order meet without a shuffle. Of plain files Spark first
+    leaves out lines whose order can't be recent, by a Bloom filter of bounded size
+    over the recent order ids, and shuffles the others once, by order.
     Lines and orders without an order id are one order of their own.
     """
-    flags = [f"orders_{d}" for d in windows]
-    recent = (
-        orders.filter(F.col("created_at") >= cutoff(as_of, max(windows)))
-        .groupBy("order_id")
-        .agg(
-            *[
-                F.count_if(F.col("created_at") >= cutoff(as_of, d)).alias(flag)
-                for d, flag in zip(windows, flags)
-            ]
-        )
-    )
+    recent = since_day(orders, "created_at", as_of - timedelta(days=max(windows)))
+    recent = recent.select("order_id", "created_at")
     lines = order_lines.filter(F.col("variant_id").isNotNull()).select(
         "order_id", "variant_id", "quantity", "variant_price"
     )
-    units = _sum0(F.col("quantity").cast("bigint")).alias("units")
-    revenue = _sum0(F.col("variant_price") * F.col("quantity")).alias("revenue")
-    dated = (
+    inside = {d: F.col("created_at") >= cutoff(as_of, d) for d in windows}
+    units, revenue = F.col("quantity").cast("bigint"), F.col("variant_price") * F.col("quantity")
+    per_order = (
         join_tables(lines, recent, "order_id", how="inner")
-        .groupBy("order_id", "variant_id", *flags)
-        .agg(units, revenue)
+        .groupBy("order_id", "variant_id")
+        .agg(
+            *[_sum0(F.when(inside[d], units)).alias(f"units_{d}") for d in windows],
+            *[_sum0(F.when(inside[d], revenue)).alias(f"revenue_{d}") for d in windows],
+            *[F.bool_or(inside[d]).alias(f"ordered_{d}") for d in windows],
+        )
+        .drop("order_id")
+    )
+    # every nameless line meets every nameless order
+    nameless = recent.filter(F.col("order_id").isNull()).agg(
+        *[F.count_if(inside[d]).alias(f"times_{d}") for d in windows]
     )
-    # one row at most
-    nameless = recent.filter(F.col("order_id").isNull())
-    times = {flag: nameless.select(flag).scalar() for flag in flags}
+    times = {d: nameless.select(f"times_{d}").scalar() for d in windows}
     without = (
         lines.filter(F.col("order_id").isNull())
         .groupBy("variant_id")
-        .agg(units, revenue)
-        .withColumns({**times, "order_id": F.lit(None).cast(lines.schema["order_id"].dataType)})
-        .filter(F.col(flags[0]).isNotNull())
+        .agg(_sum0(units).alias("units"), _sum0(revenue).alias("revenue"))
+        .filter(times[max(windows)] > 0)
+        .select(
+            "variant_id",
+            *[(F.col("units") * times[d]).alias(f"units_{d}") for d in windows],
+            *[(F.col("revenue") * times[d]).alias(f"revenue_{d}") for d in windows],
+            *[F.lit(False).alias(f"ordered_{d}") for d in windows],
+        )
     )
-    dated = dated.unionByName(without)
     metrics = []
     for d in windows:
-        times = F.col(f"orders_{d}")
         metrics += [
-            _sum0(F.col("units") * times).alias(f"units_sold_{d}d"),
-            _sum0(F.col("revenue") * times).alias(f"revenue_{d}d"),
-            F.count_if((times > 0) & F.col("order_id").isNotNull()).alias(f"order_count_{d}d"),
+            _sum0(F.col(f"units_{d}")).alias(f"units_sold_{d}d"),
+            _sum0(F.col(f"revenue_{d}")).alias(f"revenue_{d}d"),
+            F.count_if(F.col(f"ordered_{d}")).alias(f"order_count_{d}d"),
         ]
-    sales = dated.groupBy("variant_id").agg(*metrics)
+    sales = per_order.unionByName(without).groupBy("variant_id").agg(*metrics)
     return sales.withColumns(
         {
             f"aur_{d}d": ratio_or_null(F.col(f"revenue_{d}d"), F.col(f"units_sold_{d}d"))
@@ -128,8 +132,7 @@ def variant_window_sales(
 
 def current_stock(stock_daily: DataFrame) -> DataFrame:
     """Free quantity per sku at the latest snapshot of the whole table."""
-    latest = stock_daily.agg(F.max("snapshot_date")).scalar()
-    return stock_daily.filter(F.col("snapshot_date") == latest).select(
+    return latest_rows(stock_daily, "snapshot_date").select(
         F.col("internal_reference").alias("sku"), F.col("free_qty").alias("current_qty")
     )
 
@@ -146,10 +149,8 @@ def stock_windows(
             F.avg(F.when(inside, F.col("free_qty"))).alias(f"avg_free_qty_{d}d"),
         ]
     return (
-        stock_daily.filter(
-            (F.col("snapshot_date") >= cutoff(as_of, max(windows)))
-            & F.col("internal_reference").isNotNull()
-        )
+        since_day(stock_daily, "snapshot_date", as_of - timedelta(days=max(windows)))
+        .filter(F.col("internal_reference").isNotNull())
         .groupBy(F.col("internal_reference").alias("sku"))
         .agg(*metrics)
     )

@@ -9,7 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job in this package relies on. Skewed joins are
-# split by adaptive execution even when a later step has to shuffle again.
+# split by adaptive execution even when a later step has to shuffle again. Joins
+# of a large table with a cut of another one filter it by the other's keys first:
+# the filter has 8 MB at most, whatever it is made from.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
@@ -17,6 +19,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(8 << 23),
 }
 
 

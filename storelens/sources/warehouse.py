@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions.dates import ts
 from storelens.operators.cleaning import process_table
+from storelens.sources.dated import day_column, with_day
 
 # Warehouse table, registry table and the column an incremental
 # pull is bounded on (None: always read whole).
@@ -62,13 +63,19 @@ def since(df: DataFrame, column: str | None, bound: datetime | None) -> DataFram
     return df.filter(F.col(column) >= ts(bound))
 
 
-def scan_table(raw: DataFrame, table: str, bound: datetime | None = None) -> DataFrame:
+def scan_table(
+    raw: DataFrame, table: str, bound: datetime | None = None, by_day: bool = False
+) -> DataFrame:
     """A cleaned warehouse table, optionally from a moment on.
 
-    The bounded column need not be part of the cleaned table.
+    The bounded column need not be part of the cleaned table. ``by_day`` adds its
+    day, which a table is stored by.
     """
     _, column = WAREHOUSE_TABLES[table]
-    return process_table(since(raw, column, bound), table)
+    rows = since(raw, column, bound)
+    if by_day:
+        return process_table(with_day(rows, column), table, keep=(day_column(column),))
+    return process_table(rows, table)
 
 
 def scan_listing_tags(raw: DataFrame) -> DataFrame:
