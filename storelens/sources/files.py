@@ -2,59 +2,28 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelens.functions.text import strip
 from storelens.operators.cleaning import process_table
+from storelens.sources.records import (
+    LATIN_1,
+    UTF_8,
+    chosen_encoding,
+    column_names,
+    decodable,
+    file_name,
+    read_cells,
+)
 
 # Fixed value: how the product master file is encoded.
 MASTER_ENCODING = "ISO-8859-1"
 
-# Fixed value: the byte-order mark.
-BOM = "\ufeff"
-
-UTF_8, WINDOWS_1252, LATIN_1 = "UTF-8", "windows-1252", "ISO-8859-1"
-
-
-def _windows_characters() -> dict[str, str]:
-    """Characters windows-1252 has where latin-1 has control characters."""
-    pairs = {}
-    for code in range(0x80, 0xA0):
-        try:
-            pairs[chr(code)] = bytes([code]).decode("cp1252")
-        except UnicodeDecodeError:
-            continue
-    return pairs
-
-
-WINDOWS_CHARACTERS = _windows_characters()
-UNDEFINED_IN_WINDOWS = [
-    f"{code:02X}" for code in range(0x80, 0xA0) if chr(code) not in WINDOWS_CHARACTERS
-]
-
-
-def file_name() -> Column:
-    return F.col("_metadata.file_name").alias("file")
-
 
 def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
     """The product master, cleaned."""
-    raw = spark.read.csv(path, header=True, encoding=MASTER_ENCODING, multiLine=True, escape='"')
-    return process_table(raw, "master_sku")
-
-
-def _reading_options(encoding: str) -> dict:
-    charset = UTF_8 if encoding == UTF_8 else LATIN_1
-    return {"header": True, "encoding": charset, "multiLine": True, "escape": '"'}
-
-
-def _decoded(c: Column, encoding: str) -> Column:
-    """Windows texts are read as latin-1; put in the characters that differ."""
-    if encoding != WINDOWS_1252:
-        return c
-    return F.translate(c, "".join(WINDOWS_CHARACTERS), "".join(WINDOWS_CHARACTERS.values()))
+    return process_table(_wide(read_cells(spark, path, MASTER_ENCODING)), "master_sku")
 
 
 def csv_encodings(spark: SparkSession, path: str) -> DataFrame:
@@ -63,71 +32,39 @@ def csv_encodings(spark: SparkSession, path: str) -> DataFrame:
     Lines are looked at as bytes, so a large file is checked in parts by many
     tasks and never held in memory as a whole.
     """
-    line = F.col("value")
-    valid = F.is_valid_utf8(line)
-    byte_pairs = F.regexp_replace(F.hex(line), "(..)", "$1 ")
-    undefined = rf"(^| )({'|'.join(UNDEFINED_IN_WINDOWS)}) "
-    checked = spark.read.text(path).select(
+    utf_8, windows = decodable(F.col("value"))
+    checked = spark.read.option("lineSep", "\n").text(path).select(
         file_name(),
         F.col("_metadata.file_path").alias("file_path"),
-        valid.alias("utf_8"),
-        (valid | ~byte_pairs.rlike(undefined)).alias("windows"),
-    )
-    encoding = (
-        F.when(F.bool_and("utf_8"), UTF_8)
-        .when(F.bool_and("windows"), WINDOWS_1252)
-        .otherwise(LATIN_1)
+        utf_8.alias("utf_8"),
+        windows.alias("windows"),
     )
+    encoding = chosen_encoding(F.bool_and("utf_8"), F.bool_and("windows"))
     return checked.groupBy("file", "file_path").agg(encoding.alias("encoding"))
 
 
-def csv_layouts(spark: SparkSession, path: str) -> DataFrame:
-    """The files of a folder by encoding and header line, which is the first line
-    of a file: one row per layout with its files."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.hex("value").alias("header"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+def _wide(cells: DataFrame, own_headers: bool = False) -> DataFrame:
+    names = column_names(cells)
+    return cells.select(
+        "file",
+        *([F.transform("header", strip).alias("header")] if own_headers else []),
+        "row_no",
+        *[F.coalesce(F.try_element_at("cells", F.lit(n)), F.lit("")).alias(n) for n in names],
     )
-    headers = lines.groupBy("file_path").agg(F.min_by("header", "place").alias("header"))
-    named = csv_encodings(spark, path).join(headers, "file_path")
-    return named.groupBy("encoding", "header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
 
 
 def read_text_csvs(spark: SparkSession, path: str, own_headers: bool = False) -> DataFrame:
     """All CSV files of a folder, each in the encoding and with the headers it has.
 
-    Every cell is text. Files of one layout (encoding and headers) are read
-    together, each file once, and layouts are put together by column name: a
-    column that a file lacks is empty there, as an empty cell is. A byte-order
-    mark is dropped. Adds ``file`` and ``row_no``, the order of lines within a
-    file: a multi-line CSV file is read by one task front to back, so the
-    running id of the task follows the file. ``own_headers`` also adds
-    ``header``, the columns of the file in its order, stripped. The driver learns the layouts with their files, which
-    it lists for reading anyway, never a line.
+    Every cell is text. All files go through one plan, whatever their headers, and
+    are put together by column name: a column that a file lacks is empty there, as
+    an empty cell is. A byte-order mark is dropped. Adds ``file`` and ``row_no``,
+    the line in the file a row begins on. ``own_headers`` also adds ``header``, the
+    columns of the file in its order, stripped. The driver learns the names of the
+    columns, never a line or a file. Names are told apart as in ``read_cells``,
+    which has the same rows without the wide columns.
     """
-    layouts = csv_layouts(spark, path).orderBy("encoding", "header").collect()
-    if not layouts:
-        raise FileNotFoundError(f"no CSV files in {path}")
-    parts = []
-    for layout in layouts:
-        raw = spark.read.csv(layout["files"], **_reading_options(layout["encoding"]))
-        headers = [h.lstrip(BOM) for h in raw.columns]
-        if layout["encoding"] == WINDOWS_1252:
-            table = str.maketrans(WINDOWS_CHARACTERS)
-            headers = [h.translate(table) for h in headers]
-        rows = raw.select(
-            file_name(),
-            *([F.array(*[F.lit(h.strip()) for h in headers]).alias("header")] if own_headers else []),
-            F.monotonically_increasing_id().alias("row_no"),
-            *[
-                F.coalesce(_decoded(F.col(f"`{old}`"), layout["encoding"]), F.lit("")).alias(new)
-                for old, new in zip(raw.columns, headers)
-            ],
-        )
-        parts.append(rows)
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return together.fillna("")
+    return _wide(read_cells(spark, path), own_headers)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
