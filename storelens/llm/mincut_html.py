@@ -146,6 +146,12 @@ class BlockReader(HTMLParser):
         if any(tag == "a" for tag, _, _ in self.open):
             self.linked += len(data.strip())
 
+    def parse_marked_section(self, i, report=1):
+        """``<![`` begins a comment up to the next ``>`` or the end of the page, as
+        browsers read it."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
     def close(self):
         super().close()
         self._flush()
