@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from storelens.llm.frames import prepared, rows_as, stage
 from storelens.llm.suffix_arrays import common_prefixes, suffix_array
-from storelens.llm.textbytes import RangeHash, batch_slices, mix, slices
+from storelens.llm.textbytes import CONTINUATION, RangeHash, batch_slices, mix, slices
 
 LENGTH = 400
 #: Bytes of the substrings a window picks from.
@@ -189,7 +189,7 @@ def _remove(length: int, pick: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, spans, kept = [], [], []
+            removed, spans, kept, chars = [], [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 raw = text.encode()
                 data = np.frombuffer(raw, dtype=np.uint8)
@@ -208,10 +208,15 @@ def _remove(length: int, pick: int):
                 gone = np.cumsum(edge)[:-1] > 0
                 removed.append(int(gone.sum()))
                 spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
-                kept.append(hashlib.sha256(np.frombuffer(raw, np.uint8)[~gone].tobytes()).hexdigest())
+                left = np.frombuffer(raw, np.uint8)[~gone]
+                kept.append(hashlib.sha256(left.tobytes()).hexdigest())
+                chars.append(int((~CONTINUATION[left]).sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept)],
-                names=["digest", "n_removed", "n_spans", "kept_sha256"],
+                [
+                    batch.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept),
+                    pa.array(chars, pa.int64()),
+                ],
+                names=["digest", "n_removed", "n_spans", "kept_sha256", "n_kept_chars"],
             )
 
     return run
@@ -220,7 +225,9 @@ def _remove(length: int, pick: int):
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, pick: int = PICK
 ) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, changed, n_kept_chars) of
+    every row: ``changed`` whether bytes are removed, ``n_kept_chars`` the characters
+    that begin among the bytes left."""
     prepared(docs.sparkSession)
     docs = rows_as(docs, doc_id=id_col, text=text_col)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -290,10 +297,15 @@ def remove_repeats(
         F.collect_list(F.struct("pick", "content", "low", "high")).alias("found")
     )
     changed = long.join(spans, "digest").select("digest", "text", "found").mapInArrow(
-        _remove(length, pick), "digest binary, n_removed long, n_spans long, kept_sha256 string"
+        _remove(length, pick), "digest binary, n_removed long, n_spans long, kept_sha256 string, n_kept_chars long"
     )
     copies = texts.where("copies > 1").select("digest", F.lit(True).alias("copied"))
-    rows = docs.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
+    rows = docs.select(
+        "doc_id",
+        "digest",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.char_length("text").cast("long").alias("n_chars"),
+    )
     rows = rows.join(copies, "digest", "left").join(changed, "digest", "left")
     empty = hashlib.sha256(b"").hexdigest()
     return rows.select(
@@ -304,4 +316,6 @@ def remove_repeats(
         F.when(F.col("copied"), F.lit(empty))
         .otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest"))))
         .alias("kept_sha256"),
+        (F.coalesce("copied", F.lit(False)) | (F.coalesce("n_removed", F.lit(0)) > 0)).alias("changed"),
+        F.when(F.col("copied"), F.lit(0)).otherwise(F.coalesce("n_kept_chars", "n_chars")).cast("long").alias("n_kept_chars"),
     )

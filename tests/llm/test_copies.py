@@ -109,7 +109,8 @@ def removed_by_hand(texts, length):
                 gone[i + 1 : i + 1 + length] = True
         spans = int((gone[1:] & ~gone[:-1]).sum())
         kept = bytes(b for b, g in zip(raw, gone[1:]) if not g)
-        out.append((len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+        chars = sum(b & 0xC0 != 0x80 for b in kept)
+        out.append((len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), bool(gone.any()), chars))
     return out
 
 
