@@ -41,6 +41,25 @@ def segment_features(t: RetailTables) -> DataFrame:
     )
 
 
+def loose_tables(t: RetailTables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members, customers and orders with more nulls on both sides of their keys,
+    and orders that several customers share."""
+    profile, customer, order = F.col("profile_id"), F.col("customer_id"), F.col("order_id")
+    odd = (F.length(profile) % 5 == 0) & profile.endswith("7")
+    members = t.segment_membership.select(F.when(~odd, profile).alias("profile_id"), "segment_id")
+    owners = customers(t).select(
+        F.when(~customer.endswith("3"), profile).alias("profile_id"),
+        F.when(~customer.endswith("19"), customer).alias("customer_id"),
+    )
+    shared = F.concat(F.lit("shared-"), F.substring(order, 1, 2))
+    sold = t.s_orders.select(
+        F.when(order.endswith("11"), shared).otherwise(order).alias("order_id"),
+        "customer_id",
+        "current_total_price",
+    )
+    return members, owners, sold
+
+
 def register(c: Catalog) -> None:
     # -- shared SQL -----------------------------------------------------------
     c.part(
@@ -212,6 +231,33 @@ def register(c: Catalog) -> None:
         total_order_revenue=2,
         avg_order_value=4,
     )
+    for null_keys, equal in (("sql", "="), ("match", "is not distinct from")):
+        c.add(
+            f"segment_purchase_stats_null_{null_keys}",
+            lambda t, null_keys=null_keys: s.segment_purchase_stats(
+                *loose_tables(t), null_keys=null_keys
+            ),
+            f"""with members as (
+                  select case when length(profile_id) % 5 = 0 and profile_id like '%7' then null else profile_id end as profile_id,
+                         segment_id from segment_membership
+                ), owners as (
+                  select case when customer_id like '%3' then null else profile_id end as profile_id,
+                         case when customer_id like '%19' then null else customer_id end as customer_id
+                  from matched_customers
+                ), sold as (
+                  select case when order_id like '%11' then concat('shared-', substring(order_id, 1, 2)) else order_id end as order_id,
+                         customer_id, current_total_price from s_orders
+                )
+                select segment_id, total_customers, total_orders, total_order_revenue,
+                       coalesce(total_order_revenue / nullif(total_orders, 0), 0) as avg_order_value
+                from (select m.segment_id, count(distinct m.profile_id) as total_customers,
+                             count(distinct o.order_id) as total_orders, coalesce(sum(o.current_total_price), 0) as total_order_revenue
+                      from members m left join owners c on m.profile_id {equal} c.profile_id
+                      left join sold o on c.customer_id {equal} o.customer_id
+                      group by m.segment_id) g""",
+            total_order_revenue=2,
+            avg_order_value=4,
+        )
     wide = {
         **rates,
         **pct_digits,

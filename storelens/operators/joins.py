@@ -91,6 +91,31 @@ def join_tables(
     return left.join(right, reduce(Column.__and__, condition), how).drop("__r_salt", *drop)
 
 
+def collapse(df: DataFrame, columns: Sequence[str], weight: str = "weight") -> DataFrame:
+    """Equal rows of the named columns as one row with their number."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(weight))
+
+
+def weighted_join(
+    left: DataFrame, right: DataFrame, on: str, null_keys: str = "sql", weight: str = "weight"
+) -> DataFrame:
+    """Left join of collapsed tables; a row stands for as many pairs as its weight,
+    the product of both weights, by which sums and counts are multiplied.
+
+    With ``null_keys="match"`` null keys meet null keys. The plain join would make
+    a pair of every row with a null key on one side and every such row on the other;
+    here each side has one row for all of them that are equal, one in all where the
+    key is the only column besides sums.
+    """
+    if null_keys not in ("match", "sql"):
+        raise ValueError(f"null_keys must be 'match' or 'sql', not {null_keys!r}")
+    right = right.withColumnsRenamed({on: "__key", weight: "__times"})
+    key, other = F.col(on), F.col("__key")
+    condition = key.eqNullSafe(other) if null_keys == "match" else key == other
+    joined = left.join(right, condition, "left").drop("__key")
+    return joined.withColumn(weight, F.col(weight) * F.coalesce("__times", F.lit(1))).drop("__times")
+
+
 def null_pairs(left: DataFrame, right: DataFrame, on: Keys, right_on: Keys | None = None) -> int:
     """How many pairs of null keys a join with ``null_keys="match"`` would make
     for keys of one column."""

@@ -11,7 +11,9 @@ from storelens.functions.buckets import DAY_PARTS, hour_bucket, tz_cohort
 from storelens.functions.dates import day_type, within
 from storelens.functions.ratios import ratio
 from storelens.functions.text import email_key
-from storelens.operators.joins import join_tables
+from storelens.operators.bitmaps import bitmap_sets, number_ids, set_sizes
+from storelens.operators.joins import collapse, join_tables, spread_join, weighted_join
+from storelens.session import stage
 
 # The sale event whose only-then buyers form a segment.
 SALE_START = datetime(2024, 11, 24)
@@ -152,60 +154,97 @@ def segment_send_time(membership: DataFrame, customer_features: DataFrame) -> Da
     )
 
 
+def _order_sets(
+    orders: DataFrame, links: DataFrame, groups: DataFrame | None, loose: DataFrame
+) -> DataFrame:
+    """Distinct orders per segment, as bitmaps of order numbers.
+
+    Orders are numbered by customer, so a customer's are neighbours. ``links`` are
+    (segment, customer) rows. ``groups`` are (segment, kind) rows of segments that
+    also have all orders without a customer ("guests") or those of the ``loose``
+    customers, whose bitmaps are made once and then handed to these segments.
+    """
+    named = orders.filter(F.col("order_id").isNotNull()).select("order_id", "customer_id").distinct()
+    homes = named.groupBy("order_id").agg(F.min("customer_id").alias("home"))
+    # guest orders go together with nothing
+    numbers = number_ids(homes, "order_id", F.coalesce("home", "order_id"), "order-numbers")
+    numbered = named.join(numbers, "order_id").select("customer_id", "n")
+    if groups is not None:
+        numbered = stage(numbered, "customer-orders")
+    sets = bitmap_sets(links.join(numbered, "customer_id"), ["segment_id"])
+    if groups is not None:
+        guests = numbered.filter(F.col("customer_id").isNull()).withColumn("kind", F.lit("guests"))
+        other = numbered.join(loose, "customer_id", "left_semi").withColumn("kind", F.lit("loose"))
+        shared = stage(bitmap_sets(guests.unionByName(other), ["kind"]), "shared-orders")
+        handed = spread_join(shared, groups, "kind").select("segment_id", "bucket", "bits")
+        sets = sets.unionByName(handed)
+    return set_sizes(sets, ["segment_id"], "total_orders")
+
+
 def segment_purchase_stats(
     membership: DataFrame,
     customers: DataFrame,
     orders: DataFrame,
     order_has_one_customer: bool = False,
+    null_keys: str = "sql",
 ) -> DataFrame:
     """Distinct members and orders, revenue and mean order value per segment.
 
-    Orders collapse per customer, and members per (segment, customer), before
-    the two meet. Distinct orders are counted as (segment, order) pairs; where
-    an order is known to belong to one customer, ``order_has_one_customer=True``
-    adds up counts per customer instead, which saves a shuffle.
+    Everything is summed up before it meets: orders per customer, these per
+    profile, members per segment and profile. Distinct orders are bitmaps of order
+    numbers, so no row of a segment and an order is moved; an order with two
+    customers counts once. Where an order is known to belong to one customer,
+    ``order_has_one_customer=True`` adds up counts per customer instead.
+
+    With ``null_keys="match"`` a member without a customer meets every order
+    without one, and members without a profile meet all customers without one, as
+    in joins in which null keys are equal. What the nulls of a side stand for is
+    one row there, so no pairs arise.
     """
-    members = membership.filter(F.col("segment_id").isNotNull())
-    owners = customers.select("profile_id", "customer_id")
-    pairs = (
-        join_tables(members, owners, "profile_id")
-        .groupBy("segment_id", "customer_id")
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
-    per_order = orders.groupBy("customer_id", "order_id").agg(
-        F.coalesce(F.sum("current_total_price"), F.lit(0.0)).alias("revenue")
-    )
-    per_customer = per_order.groupBy("customer_id").agg(
-        F.count("order_id").alias("orders"), F.sum("revenue").alias("revenue")
-    )
-    bought = (
-        join_tables(pairs, per_customer, "customer_id")
-        .groupBy("segment_id")
+    match = null_keys == "match"
+    members = collapse(membership.filter(F.col("segment_id").isNotNull()), ["segment_id", "profile_id"])
+    members = stage(members, "members")
+    owners = stage(collapse(customers, ["profile_id", "customer_id"]), "owners")
+    revenue = F.coalesce(F.sum("current_total_price"), F.lit(0.0)).alias("revenue")
+    per_customer = orders.groupBy("customer_id").agg(revenue).withColumn("weight", F.lit(1).cast("bigint"))
+    per_profile = (
+        weighted_join(owners, per_customer, "customer_id", null_keys)
+        .groupBy("profile_id")
         .agg(
-            F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
-            F.coalesce(F.sum(F.col("revenue") * F.col("times")), F.lit(0.0)).alias(
-                "total_order_revenue"
-            ),
+            F.coalesce(F.sum(F.col("revenue") * F.col("weight")), F.lit(0.0)).alias("revenue"),
+            F.bool_or(F.col("customer_id").isNull()).alias("guest"),
         )
+        .withColumns({"weight": F.lit(1).cast("bigint"), "matched": F.lit(True)})
     )
-    if not order_has_one_customer:
-        seen = (
-            join_tables(
-                pairs.drop("times"), per_order.select("customer_id", "order_id"), "customer_id"
-            )
-            .select("segment_id", "order_id")
-            .distinct()
-            .groupBy("segment_id")
-            .agg(F.count("order_id").alias("total_orders"))
-        )
-        bought = bought.drop("total_orders").join(seen, "segment_id")
-    people = (
-        members.select("segment_id", "profile_id")
-        .distinct()
-        .groupBy("segment_id")
-        .agg(F.count("profile_id").alias("total_customers"))
+    seen = weighted_join(members, per_profile, "profile_id", null_keys)
+    if match:
+        guests = orders.filter(F.col("customer_id").isNull()).agg(revenue).scalar()
+        seen = seen.withColumn("revenue", F.when(F.col("matched"), F.col("revenue")).otherwise(guests))
+    unmatched = F.coalesce(F.col("guest"), F.lit(True))
+    stats = seen.groupBy("segment_id").agg(
+        F.count("profile_id").alias("total_customers"),
+        F.coalesce(F.sum(F.col("revenue") * F.col("weight")), F.lit(0.0)).alias("total_order_revenue"),
+        F.bool_or(unmatched).alias("guests"),
+        F.bool_or(F.col("profile_id").isNull() & F.col("matched")).alias("loose"),
+    )
+    if match:
+        stats = stage(stats, "segment-revenue")
+    # rows with a null on either side are not links but groups
+    links = members.join(owners.filter(F.col("customer_id").isNotNull()), "profile_id").select(
+        "segment_id", "customer_id"
     )
-    return people.join(bought, "segment_id").select(
+    loose = owners.filter(F.col("profile_id").isNull() & F.col("customer_id").isNotNull()).select("customer_id")
+    if order_has_one_customer and not match:
+        counts = orders.groupBy("customer_id").agg(F.count_distinct("order_id").alias("n"))
+        counted = links.distinct().join(counts, "customer_id").groupBy("segment_id")
+        counted = counted.agg(F.sum("n").alias("total_orders"))
+    else:
+        kinds = F.array_compact(F.array(*[F.when(F.col(k), F.lit(k)) for k in ("guests", "loose")]))
+        groups = stats.select("segment_id", F.explode(kinds).alias("kind")) if match else None
+        counted = _order_sets(orders, links, groups, loose)
+    return stats.join(counted, "segment_id", "left").withColumn(
+        "total_orders", F.coalesce("total_orders", F.lit(0))
+    ).select(
         "segment_id",
         "total_customers",
         "total_orders",
@@ -221,6 +260,7 @@ def segment_features(
     customers: DataFrame,
     orders: DataFrame,
     customer_features: DataFrame,
+    null_keys: str = "sql",
 ) -> DataFrame:
     """Segments with campaign totals, send-time shares and purchase statistics."""
     send_time = segment_send_time(membership, customer_features)
@@ -228,7 +268,7 @@ def segment_features(
     wide = join_tables(wide, send_time, "segment_id", null_keys="sql")
     wide = join_tables(
         wide,
-        segment_purchase_stats(membership, customers, orders),
+        segment_purchase_stats(membership, customers, orders, null_keys=null_keys),
         "segment_id",
         null_keys="sql",
     )

@@ -128,9 +128,11 @@ def test_purchase_stats_both_ways_and_guest_orders(spark, tables):
         [("o1", "c1", 10.0), ("g1", None, 5.0), ("g2", None, 7.0)],
         "order_id string, customer_id string, current_total_price double",
     )
-    row = s.segment_purchase_stats(members, people, orders).collect()[0]
-    # both members without a customer meet both guest orders
-    assert (row["total_customers"], row["total_orders"], row["total_order_revenue"]) == (3, 3, 34.0)
+    found = lambda rule: s.segment_purchase_stats(members, people, orders, null_keys=rule).collect()[0]
+    # a missing customer meets nothing, or both members without one meet both guest orders
+    for rule, expected in (("sql", (3, 1, 10.0)), ("match", (3, 3, 34.0))):
+        row = found(rule)
+        assert (row["total_customers"], row["total_orders"], row["total_order_revenue"]) == expected
 
 
 def test_event_segment(spark):
