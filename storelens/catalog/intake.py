@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from storelens.catalog.registry import Catalog
 from storelens.catalog.views import RetailTables
 from storelens.functions import casts
+from storelens.operators.ordering import row_numbers
 from storelens.operators.cleaning import normalize_headers, process_table
 from storelens.session import shared_dir
 from storelens.sources import files, pages, warehouse
@@ -26,20 +27,29 @@ CAST_CELLS = {
 }
 
 
-def _json_pages(rows: DataFrame, keys: list[str], field: str, item) -> DataFrame:
-    """Pages as an API would have landed them: items of a page in item order."""
+def _json_pages(rows: DataFrame, keys: list[str], field: str, item, more) -> DataFrame:
+    """Pages as an API would have landed them: items of a page in item order, and
+    what the body says about further pages."""
     listed = F.array_sort(F.collect_list(item))
     return (
         rows.groupBy(*keys)
-        .agg(listed.alias(field))
-        .select(*keys, F.to_json(F.struct(field)).alias("body"))
+        .agg(listed.alias(field), F.first(more).alias("more"))
+        .select(*keys, F.to_json(F.struct(field, "more.*")).alias("body"))
     )
 
 
+def _next_link(page, pages):
+    """The link of a page to the next one; the last page has none."""
+    link = F.when(page < pages, F.concat(F.lit("https://api.example/items?cursor="), page + 1))
+    return F.struct(F.struct(link.alias("next")).alias("links"))
+
+
 def segment_pages(t: RetailTables) -> DataFrame:
+    """One segment a page, by name."""
     rows = t.events.groupBy("event_type").agg(
         F.min("ts").alias("created"), F.max("ts").alias("updated")
     )
+    names = t.events.agg(F.array_sort(F.collect_set("event_type"))).scalar()
     moment = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
     item = F.struct(
         F.concat(F.lit("S-"), "event_type").alias("id"),
@@ -49,8 +59,8 @@ def segment_pages(t: RetailTables) -> DataFrame:
             moment("updated").alias("updated"),
         ).alias("attributes"),
     )
-    paged = rows.withColumn("page", F.length("event_type"))
-    return _json_pages(paged, ["page"], "data", item)
+    paged = rows.withColumn("page", F.array_position(names, F.col("event_type")))
+    return _json_pages(paged, ["page"], "data", item, _next_link(F.col("page"), F.size(names)))
 
 
 def profile_pages(t: RetailTables) -> DataFrame:
@@ -65,18 +75,23 @@ def profile_pages(t: RetailTables) -> DataFrame:
             ).alias("email")
         ).alias("attributes"),
     )
-    paged = rows.select(
+    placed = rows.withColumn("bucket", F.floor(F.col("user_id") / 1000))
+    placed = row_numbers(placed, ["event_type"], "bucket", [F.col("user_id")], "nth")
+    sizes = t.events.groupBy("event_type").agg(F.count_distinct("user_id").alias("size"))
+    paged = placed.join(sizes, "event_type").select(
         F.concat(F.lit("S-"), "event_type").alias("segment_id"),
-        F.floor(F.col("user_id") / 50).alias("page"),
+        F.ceil(F.col("nth") / 50).alias("page"),
+        F.ceil(F.col("size") / 50).alias("pages"),
         "event_type",
         "user_id",
         "joined",
     )
-    return _json_pages(paged, ["segment_id", "page"], "data", item)
+    link = _next_link(F.col("page"), F.col("pages"))
+    return _json_pages(paged, ["segment_id", "page"], "data", item, link)
 
 
-def search_pages(t: RetailTables) -> DataFrame:
-    """Collections on pages of at most 100 products."""
+def search_pages(t: RetailTables, per_page: int = 100) -> DataFrame:
+    """Collections on pages of at most so many products."""
     item = F.struct(
         "position",
         "name",
@@ -84,8 +99,27 @@ def search_pages(t: RetailTables) -> DataFrame:
         (F.col("price") * 2).alias("msrp"),
         (F.col("position") % 2).cast("string").alias("ss_available"),
     )
-    paged = t.searchspring_collection.withColumn("page", F.ceil(F.col("position") / 100))
-    return _json_pages(paged, ["collection", "page"], "results", item)
+    products = t.searchspring_collection
+    sizes = products.groupBy("collection").agg(F.count(F.lit(1)).alias("size"))
+    paged = products.join(sizes, "collection").withColumn("page", F.ceil(F.col("position") / per_page))
+    total = F.struct(F.ceil(F.col("size") / per_page).alias("totalPages"))
+    return _json_pages(paged, ["collection", "page"], "results", item, F.struct(total.alias("pagination")))
+
+
+def damaged_pages(t: RetailTables) -> DataFrame:
+    """Search pages of five products, of which some are missing, cut off in the
+    middle, landed twice, or an error message; of some pulls the end is missing."""
+    page, body = F.col("page"), F.col("body")
+    total = F.get_json_object(body, "$.pagination.totalPages").cast("bigint")
+    last_is_lost = (page == total) & (F.length("collection") % 2 == 0)
+    kept = search_pages(t, 5).filter((page % 7 != 3) & ~last_is_lost)
+    text = (
+        F.when(page % 11 == 5, F.expr("left(body, length(body) - 10)"))
+        .when(page % 17 == 8, F.lit('{"errors": ["too many requests"]}'))
+        .otherwise(body)
+    )
+    copies = F.when(page % 13 == 6, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return kept.select("collection", "page", text.alias("body"), F.explode(copies).alias("copy")).drop("copy")
 
 
 def master_csv(t: RetailTables) -> DataFrame:
@@ -289,6 +323,37 @@ def register(c: Catalog) -> None:
         """select collection, position, name, price, price * 2 as compare_at_price, cast(position % 2 as varchar) as available
            from searchspring_collection""",
     )
+    c.part(
+        "landed_pages",
+        """select collection, page, max(page) over (partition by collection) as highest, total,
+                  page % 11 = 5 as cut_off, page % 11 <> 5 and page % 17 = 8 as an_error, page % 13 = 6 as twice
+           from (select distinct collection, cast(ceil(position / 5.0) as bigint) as page,
+                        cast(ceil(max(position) over (partition by collection) / 5.0) as bigint) as total
+                 from searchspring_collection) p
+           where page % 7 <> 3 and not (page = total and length(collection) % 2 = 0)""",
+    )
+    c.add(
+        "page_problems",
+        lambda t: pages.page_problems(damaged_pages(t), pages.SEARCH_PAGES),
+        """select collection, page, case when cut_off then 'unreadable' else 'no items' end as problem
+           from landed_pages, (select unnest([1, 2]) as copy) where (cut_off or an_error) and (copy = 1 or twice)
+           union all select collection, page, 'repeated' from landed_pages where twice
+           union all
+           select collection, page - 1, 'gap' from landed_pages l where page > 1
+              and not exists (select 1 from landed_pages k where k.collection = l.collection and k.page = l.page - 1)
+           union all
+           select collection, page, 'cut' from landed_pages where page = highest and page < total and not (cut_off or an_error)""",
+    )
+    c.add(
+        "positions_of_readable_pages",
+        lambda t: pages.collection_positions(
+            pages.readable_pages(damaged_pages(t).distinct(), pages.SEARCH_PAGES)
+        ).select("collection", "position", "name"),
+        """select s.collection, row_number() over (partition by s.collection order by s.position) as position, s.name
+           from searchspring_collection s join landed_pages l
+             on s.collection = l.collection and l.page = cast(ceil(s.position / 5.0) as bigint)
+           where not (l.cut_off or l.an_error)""",
+    )
     c.add(
         "read_master_csv",
         master_csv,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from storelens.catalog.registry import Catalog
 from storelens.catalog.views import AS_OF, RetailTables
+from storelens.operators.ordering import range_rank
 from storelens.plans import merchandising as m
 from storelens.session import stage
 
@@ -35,21 +36,22 @@ def stored_listings(t: RetailTables) -> DataFrame:
     return stage(listing_sales(t), "listing_sales")
 
 
-# Ranks depend on ties, so the metrics are compared without the last digits,
-# which the order of addition decides.
-RANK_DIGITS = {
-    "revenue_30d": 3,
-    "rate_of_sale_30d": 8,
-    "rate_of_sale_7d": 8,
-    "markdown_pct": 8,
-    "margin_pct": 8,
-    "weeks_of_sale": 6,
-}
+def collection_metrics(t: RetailTables) -> DataFrame:
+    return m.collection_metrics(t.searchspring_collection, stored_listings(t))
 
 
-def collection_metrics(t: RetailTables) -> DataFrame:
-    listings = stored_listings(t).withColumns({c: F.round(c, d) for c, d in RANK_DIGITS.items()})
-    return m.collection_metrics(t.searchspring_collection, listings)
+# What the SQL below ranks: column, short name, whether lower is better; and the
+# digits metrics are compared to. Said again here so that the library is checked.
+SQL_RANKED = (
+    ("revenue_30d", "revenue", False),
+    ("rate_of_sale_30d", "ros", False),
+    ("velocity_trend", "velocity", False),
+    ("markdown_pct", "markdown", True),
+    ("margin_pct", "margin", False),
+)
+SQL_DIGITS = """round(revenue_30d, 3) as revenue_30d, round(rate_of_sale_30d, 8) as rate_of_sale_30d,
+    round(rate_of_sale_7d, 8) as rate_of_sale_7d, round(markdown_pct, 8) as markdown_pct,
+    round(margin_pct, 8) as margin_pct, round(weeks_of_sale, 6) as weeks_of_sale"""
 
 
 def _over(step, source):
@@ -147,8 +149,7 @@ def register(c: Catalog) -> None:
             from (select *, {weeks} from (select *, {listing_rates} from listing_rollup) r where current_qty >= 5) l
             left join shopify_listings s on l.product_id = s.product_id""",
     )
-    digits = ", ".join(f"round({x}, {d}) as {x}" for x, d in RANK_DIGITS.items())
-    c.part("rounded_listings", f"select * replace ({digits}) from listing_sales")
+    c.part("rounded_listings", f"select * replace ({SQL_DIGITS}) from listing_sales")
     c.part(
         "collection_metrics",
         """select k.collection, k.position, k.name, s.product_id, s.published_at, s.units_sold_30d, s.revenue_30d,
@@ -179,7 +180,7 @@ def register(c: Catalog) -> None:
         )
 
     ranks = ", ".join(
-        f"{pct_rank(column)} as {short}_rank" for column, short, _ in m.RANKED if short != "margin"
+        f"{pct_rank(column)} as {short}_rank" for column, short, _ in SQL_RANKED if short != "margin"
     )
     c.part(
         "ranked_rows",
@@ -203,11 +204,11 @@ def register(c: Catalog) -> None:
 
     shown_heat = ", ".join(
         heat(short, invert, f"{column} is not null" + (" and margin_pct <> 0" if short == "margin" else ""))
-        for column, short, invert in m.RANKED
+        for column, short, invert in SQL_RANKED
     )
     limits = ", ".join(
         f"quantile_cont({column}, 0.30) as {short}_p30, quantile_cont({column}, 0.70) as {short}_p70"
-        for column, short, _ in m.RANKED
+        for column, short, _ in SQL_RANKED
     )
     c.part("shown_limits", f"select collection, {limits} from shown_rows group by collection")
 
@@ -221,13 +222,13 @@ def register(c: Catalog) -> None:
             f"when {p70} > {p30} then 0.30e0 + 0.40e0 * ({column} - {p30}) / ({p70} - {p30}) else 0.5e0 end as {short}_rank"
         )
 
-    relatives = ", ".join(relative(column, short) for column, short, _ in m.RANKED)
+    relatives = ", ".join(relative(column, short) for column, short, _ in SQL_RANKED)
     c.part(
         "buried_ranked",
         f"select b.* exclude (row_no), {relatives} from buried_rows b join shown_limits using (collection)",
     )
     buried_heat = ", ".join(
-        heat(short, invert, f"{short}_rank is not null") for _, short, invert in m.RANKED
+        heat(short, invert, f"{short}_rank is not null") for _, short, invert in SQL_RANKED
     )
 
     # -- queries --------------------------------------------------------------
@@ -359,7 +360,7 @@ def register(c: Catalog) -> None:
         match_pct=7,
     )
     rank_keys = ["collection", "position", "product_id"]
-    shorts = [short for _, short, _ in m.RANKED]
+    shorts = [short for _, short, _ in SQL_RANKED]
 
     def pick(step, columns):
         return lambda t: step(collection_metrics(t)).select(*columns)
@@ -385,6 +386,33 @@ def register(c: Catalog) -> None:
         f"select {', '.join(rank_columns)} from ranked_rows",
         **{f"{s}_rank": 8 for s in shorts},
     )
+    whole_ranks = ", ".join(
+        f"{pct_rank(column)} as {short}_rank" for column, short, _ in SQL_RANKED if short != "margin"
+    )
+    c.add(
+        "collection_percentile_rank_whole",
+        pick(partial(m.collection_percentile_rank, n=None), rank_columns),
+        f"""select {', '.join(rank_keys)}, {whole_ranks},
+                   case when margin_pct > 0 then {pct_rank('margin_pct', 'collection, coalesce(margin_pct > 0, false)')}
+                        else 0.5e0 end as margin_rank
+            from collection_rows""",
+        **{f"{s}_rank": 8 for s in shorts},
+    )
+    c.add(
+        "price_rank_in_category",
+        lambda t: range_rank(
+            range_rank(
+                m.variant_base(t.variants, t.master_sku), ["category_group"], "price", "price_rank"
+            ),
+            ["category_group"],
+            "unit_cost",
+            "cost_rank",
+        ).select("variant_id", "category_group", "price_rank", "cost_rank"),
+        f"""select variant_id, category_group, {pct_rank('price', 'category_group')} as price_rank,
+                   {pct_rank('unit_cost', 'category_group')} as cost_rank from priced""",
+        price_rank=9,
+        cost_rank=9,
+    )
     heat_columns = [f"{s}_{x}" for s in shorts for x in ("band", "alpha", "color")]
     c.add(
         "collection_heat",

@@ -62,6 +62,13 @@ def matches(t: RetailTables) -> DataFrame:
     return o.contact_match(o.order_starts(sheet(t), AS_OF).select("customer"), t.contacts)
 
 
+def name_pieces(t: RetailTables) -> DataFrame:
+    """Pieces of contact names, of one letter and more, as names to look for."""
+    row = F.col("row_no")
+    piece = F.substring(F.col("name"), 1 + (row % 3).cast("int"), 1 + (row % 13).cast("int"))
+    return t.contacts.select(piece.alias("customer")).filter(F.trim("customer") != "").distinct()
+
+
 def order_import(t: RetailTables) -> DataFrame:
     rows = stage(groups(t), "order_groups")
     found = o.order_items_enriched(o.order_items(rows, sizes(t)), lookup(t))
@@ -357,6 +364,23 @@ def register(c: Catalog) -> None:
                   ship_on is null as defaulted from sheet_starts""",
     )
     c.add("order_notes", lambda t: o.order_notes(groups(t)), "select * from notes_by_order")
+    c.add(
+        "order_notes_in_parts",
+        lambda t: o.order_notes(
+            groups(t).withColumn("start_row", F.lit(0).cast("bigint")), max_bytes=4000, too_long="split"
+        ),
+        """select * from (with stretches as (
+             select file, row_no // 4096 as stretch, cast(sum(strlen(rep_notes) + 5) as bigint) as bytes,
+                    string_agg(rep_notes, ' --- ' order by row_no) as notes
+             from grouped_rows where rep_notes <> '' and start_row is not null group by file, row_no // 4096
+           ), placed as (
+             select *, cast(coalesce(sum(bytes) over (partition by file order by stretch
+                                     rows between unbounded preceding and 1 preceding), 0) // 4000 as bigint) as part
+             from stretches
+           )
+           select file, cast(0 as bigint) as start_row, part, string_agg(notes, ' --- ' order by stretch) as notes
+           from placed group by file, part) q""",
+    )
     c.add("order_items", items, "select * from long_items")
     c.add("order_items_enriched", enriched, "select * from found_items where sku is not null")
     c.add(
@@ -365,6 +389,41 @@ def register(c: Catalog) -> None:
         "select distinct parent, size from found_items where sku is null",
     )
     c.add("contact_match", matches, "select * from contact_results")
+    c.add(
+        "contact_match_of_pieces",
+        lambda t: o.contact_match(name_pieces(t), t.contacts),
+        f"""select * from (with asked_pieces as (
+              select distinct trim(piece) as customer, {norm('piece')} as normalized
+              from (select substring(name, 1 + cast(row_no % 3 as int), 1 + cast(row_no % 13 as int)) as piece from contacts) x
+              where trim(piece) <> ''
+            ), found as (
+              select a.customer, a.normalized, count(p.row_no) as hits, count(*) filter (where p.company) as companies,
+                     arg_min(p.id, p.row_no) as first_id, arg_min(p.id, p.row_no) filter (where p.company) as company_id,
+                     arg_min(p.id, p.name_length * 10000000000 + p.row_no) filter (where p.company) as short_id
+              from asked_pieces a left join people p on contains(p.normalized, a.normalized) group by a.customer, a.normalized
+            ), tiers as (
+              select f.*, (select count(*) from people p where p.name = f.customer) as n_exact,
+                     (select count(*) from people p where p.name = f.customer and p.company) as c_exact,
+                     (select arg_min(id, row_no) from people p where p.name = f.customer) as exact_id,
+                     (select arg_min(id, row_no) from people p where p.name = f.customer and p.company) as exact_company,
+                     (select count(*) from people p where p.normalized = f.normalized) as n_same,
+                     (select count(*) from people p where p.normalized = f.normalized and p.company) as c_same,
+                     (select arg_min(id, row_no) from people p where p.normalized = f.normalized) as same_id,
+                     (select arg_min(id, row_no) from people p where p.normalized = f.normalized and p.company) as same_company
+              from found f
+            )
+            select customer,
+                   case when n_exact > 0 then coalesce(exact_company, exact_id) when n_same > 0 then coalesce(same_company, same_id)
+                        when hits = 1 then first_id when companies = 1 then company_id when companies > 1 then short_id
+                        when hits > 1 then first_id else '' end as id,
+                   case when c_exact > 0 then '[Exact match, company]' when n_exact > 0 then '[Exact match]'
+                        when c_same > 0 then '[Normalized match, company]' when n_same > 0 then '[Normalized match]'
+                        when hits = 1 then concat('[Contains match, ', case when companies = 1 then 'company' else 'individual' end, ']')
+                        when companies = 1 then '[Contains match, company, 1 of many]'
+                        when companies > 1 then concat('[Contains match, company, 1 of ', companies, ']')
+                        when hits > 1 then concat('[Contains match, 1 of ', hits, ']') else '[No match]' end as match_info
+            from tiers) q""",
+    )
     c.add(
         "contact_tiers",
         lambda t: value_counts(

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storelens.session import stage
+
 # Row numbers covered by one chunk of a carried-forward scan.
 CHUNK_ROWS = 65_536
 
@@ -127,6 +130,47 @@ def average_rank(
     return (F.rank().over(ordered) + (n.over(ties) - 1) / F.lit(2.0)) / n.over(whole)
 
 
+def range_rank(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
+    """Percentile rank with averaged ties, nulls last and counted, as ``average_rank``
+    has it, for groups of any size.
+
+    Rows are counted per value first. The values are dealt to ranges, so that a
+    group is ranked by as many tasks as it has ranges: inside a range by adding up
+    counts, across ranges by the size of those before, one row a range and group.
+    """
+    keys = [*group, value]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    dealt = counts.repartitionByRange(*group, F.col(value).asc_nulls_last())
+    # which range a value is in must not change any more
+    placed = stage(dealt.withColumn("__part", F.spark_partition_id()), "ranked-values")
+    earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy(*group, "__part").agg(F.sum("__n").alias("__size"))
+    parts = parts.withColumns(
+        {
+            "__before": F.coalesce(F.sum("__size").over(earlier), F.lit(0)),
+            "__total": F.sum("__size").over(Window.partitionBy(*group)),
+        }
+    ).drop("__size")
+    part_keys = [*group, "__part"]
+    inside = (
+        Window.partitionBy(*part_keys)
+        .orderBy(F.col(value).asc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    smaller = F.coalesce(F.sum("__n").over(inside), F.lit(0))
+    ranked = _null_safe_join(placed.withColumn("__smaller", smaller), parts, part_keys)
+    rank = (F.col("__before") + F.col("__smaller") + 1 + (F.col("__n") - 1) / F.lit(2.0)) / F.col("__total")
+    ranks = ranked.select(*keys, rank.alias(name))
+    return _null_safe_join(df, ranks, keys)
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on keys of which the right side has each once; null is a key like others."""
+    right = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    same = [left[k].eqNullSafe(right[f"__r_{k}"]) for k in keys]
+    return left.join(right, reduce(Column.__and__, same)).drop(*[f"__r_{k}" for k in keys])
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of the whole table."""
     return df.orderBy(*order).limit(n)

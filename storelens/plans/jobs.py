@@ -21,10 +21,17 @@ from storelens.sources.dated import day_column, open_days, read_layout, since_da
 from storelens.sources.extract import ByDay, run_extracts
 from storelens.sources.files import read_master_csv, read_table, read_text_csvs, write_csv, write_table
 from storelens.sources.pages import (
+    PROFILE_PAGES,
+    SEARCH_PAGES,
+    SEGMENT_PAGES,
+    PageKind,
+    assert_complete,
     collection_positions,
     membership_from_pages,
+    page_problems,
     profiles_from_pages,
     read_pages,
+    readable_pages,
     segments_from_pages,
 )
 from storelens.sources.warehouse import WAREHOUSE_TABLES, read_landed, scan_table, since
@@ -56,6 +63,22 @@ class _Folder:
         write_csv(df, os.path.join(self.path, name))
 
 
+def _whole_pull(spark: SparkSession, path: str, kind: PageKind, target: str, bad_pages: str) -> DataFrame:
+    """The pages of a pull that can be read. What is wrong with the others, or
+    missing, ends the extract (``bad_pages="fail"``) or is stored beside it
+    (``"store"``) below ``bad_pages``."""
+    if bad_pages not in ("fail", "store"):
+        raise ValueError(f"bad_pages must be 'fail' or 'store', not {bad_pages!r}")
+    pages = read_pages(spark, path)
+    problems = page_problems(pages, kind)
+    if bad_pages == "fail":
+        assert_complete(problems, path)
+    else:
+        name = "_".join((kind.field, *kind.keys))
+        write_table(problems, os.path.join(target, "bad_pages", name))
+    return readable_pages(pages, kind)
+
+
 def extract_merchandising(
     spark: SparkSession,
     landed: str,
@@ -64,6 +87,7 @@ def extract_merchandising(
     target: str,
     as_of: datetime,
     buckets: int = ORDER_BUCKETS,
+    bad_pages: str = "fail",
 ) -> DataFrame:
     """What ``merchandising_report`` reads: the product master file, the warehouse
     tables landed below ``landed``, those with dates for the trailing days, and
@@ -87,30 +111,39 @@ def extract_merchandising(
         "shopify_orders": lambda: scan("orders", bound, by_day=True),
         "shopify_order_lines": lambda: scan("order_lines", bound, by_day=True),
         "stock_daily": lambda: scan("stock_daily", bound, by_day=True),
-        "collections": lambda: collection_positions(read_pages(spark, pages)),
+        "collections": lambda: collection_positions(
+            _whole_pull(spark, pages, SEARCH_PAGES, target, bad_pages)
+        ),
     }
     return run_extracts(spark, extracts, target, {"collections": "collection"}, by_day)
 
 
 def extract_marketing(
-    spark: SparkSession, landed: str, segment_pages: str, profile_pages: str, target: str, since_day: datetime
+    spark: SparkSession,
+    landed: str,
+    segment_pages: str,
+    profile_pages: str,
+    target: str,
+    since_day: datetime,
+    bad_pages: str = "fail",
 ) -> DataFrame:
     """What ``segment_tables`` reads, but for the campaigns, which are uploaded:
     warehouse tables since a day, segments updated and profiles joined after it."""
     scan = _landed(spark, landed)
 
-    def profiles() -> DataFrame:
-        return read_pages(spark, profile_pages)
+    def pull(path: str, kind: PageKind) -> DataFrame:
+        return _whole_pull(spark, path, kind, target, bad_pages)
 
+    profiles = pull(profile_pages, PROFILE_PAGES)
     extracts = {
         "shopify_customers": lambda: scan("shopify_customers", since_day),
         "shopify_orders": lambda: scan("orders", since_day),
         "shopify_order_lines": lambda: scan("order_lines", since_day),
         "shopify_variants": lambda: scan("variants"),
         "shopify_listings": lambda: scan("shopify_listings"),
-        "segments": lambda: segments_from_pages(read_pages(spark, segment_pages), updated_after=since_day),
-        "profiles": lambda: profiles_from_pages(profiles(), joined_after=since_day),
-        "segment_membership": lambda: membership_from_pages(profiles(), joined_after=since_day),
+        "segments": lambda: segments_from_pages(pull(segment_pages, SEGMENT_PAGES), updated_after=since_day),
+        "profiles": lambda: profiles_from_pages(profiles, joined_after=since_day),
+        "segment_membership": lambda: membership_from_pages(profiles, joined_after=since_day),
     }
     return run_extracts(spark, extracts, target)
 
@@ -194,6 +227,8 @@ def order_sheet_import(
     target: str,
     as_of: datetime,
     reps: dict[str, str],
+    sales_team: str = order_sheets.SALES_TEAM,
+    tag: str = order_sheets.ORDER_TAG,
 ) -> None:
     """All order sheets of a folder to the import table and its quality tables.
 
@@ -220,7 +255,7 @@ def order_sheet_import(
     ordered = order_sheets.order_items(groups, sizes)
     items = out.write("order_items", order_sheets.order_items_enriched(ordered, lookup))
     people = normalize_headers(read_text_csvs(spark, contacts))
-    table = out.write("order_import", order_sheets.order_import(items, groups, people, as_of, reps))
+    table = out.write("order_import", order_sheets.order_import(items, groups, people, as_of, reps, sales_team, tag))
     files = order_sheets.import_files(table)
     files.write.mode("overwrite").partitionBy("file").csv(os.path.join(target, "order_import_csv"), header=True)
     out.write("unmatched_items", order_sheets.order_items_unmatched(ordered, lookup))

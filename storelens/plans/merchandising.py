@@ -27,7 +27,7 @@ from storelens.functions.ratios import (
 from storelens.functions.text import title_words
 from storelens.operators.cleaning import id_columns_first
 from storelens.operators.joins import join_tables, match_stats, spread_join
-from storelens.operators.ordering import average_rank, top_per_group
+from storelens.operators.ordering import average_rank, range_rank, top_per_group
 from storelens.sources.dated import latest_rows, since_day
 
 # Report parameters.
@@ -47,6 +47,17 @@ RANKED = (
     ("margin_pct", "margin", False),
 )
 
+# Ranks depend on ties, so metrics are compared without their last digits, which the
+# order of addition decides.
+RANK_DIGITS = {
+    "revenue_30d": 3,
+    "rate_of_sale_30d": 8,
+    "rate_of_sale_7d": 8,
+    "markdown_pct": 8,
+    "margin_pct": 8,
+    "weeks_of_sale": 6,
+}
+
 COLLECTION_COLUMNS = (
     "collection",
     "position",
@@ -337,11 +348,12 @@ def type_share(listings: DataFrame) -> DataFrame:
 
 
 def collection_metrics(collections: DataFrame, listings: DataFrame) -> DataFrame:
-    """All collections in one table: position and listing metrics matched by title.
+    """All collections in one table: position and listing metrics matched by title,
+    rounded to the digits they are ranked by.
 
     Keeps the product id, the tie break of everything ordered by position.
     """
-    metrics = listings.select(
+    metrics = listings.withColumns({c: F.round(c, d) for c, d in RANK_DIGITS.items()}).select(
         "title",
         "product_id",
         "units_sold_30d",
@@ -431,17 +443,24 @@ def _with_heat(df: DataFrame, known: dict[str, Column]) -> DataFrame:
     return df.withColumns({**bands, **alphas}).withColumns(colors)
 
 
-def collection_percentile_rank(metrics: DataFrame, n: int = TOP_N) -> DataFrame:
-    """Percentile ranks among the first rows of each collection.
+def collection_percentile_rank(metrics: DataFrame, n: int | None = TOP_N) -> DataFrame:
+    """Percentile ranks among the first rows of each collection, or among all.
 
     Margins are ranked among positive ones only, the rest sits in the middle.
     """
+    sells_at_profit = is_true(F.col("margin_pct") > 0)
+    if n is None:
+        ranked = metrics.withColumn("__profit", sells_at_profit)
+        for column, short, _ in RANKED:
+            part = ["collection", "__profit"] if short == "margin" else ["collection"]
+            ranked = range_rank(ranked, part, column, f"{short}_rank")
+        margin = F.when(F.col("__profit"), F.col("margin_rank")).otherwise(0.5)
+        return ranked.withColumn("margin_rank", margin).drop("__profit")
     ranks = {
         f"{short}_rank": average_rank(F.col(column), ["collection"])
         for column, short, _ in RANKED
         if short != "margin"
     }
-    sells_at_profit = is_true(F.col("margin_pct") > 0)
     ranks["margin_rank"] = F.when(
         sells_at_profit, average_rank(F.col("margin_pct"), ["collection"], of=sells_at_profit)
     ).otherwise(0.5)
