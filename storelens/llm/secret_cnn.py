@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -85,9 +86,13 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return found
 
 
-def window(text: str, start: int) -> np.ndarray:
-    """Character classes of a place in a candidate and of what surrounds it."""
-    part = text[max(0, start - BEFORE) : start - BEFORE + LENGTH]
+def window(text: str, start: int, blank: int = 0) -> np.ndarray:
+    """Character classes of a place in a candidate and of what surrounds it; with
+    spaces for what lies before ``blank``."""
+    low = max(0, start - BEFORE)
+    part = text[low : start - BEFORE + LENGTH]
+    if blank > low:
+        part = " " * min(blank - low, len(part)) + part[blank - low :]
     codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     out = np.zeros(LENGTH, dtype=np.uint8)
     shift = max(0, BEFORE - start)
@@ -101,13 +106,38 @@ def places(start: int, end: int) -> range:
     return range(start, start + STEP * -(-more // STEP) + 1, STEP)
 
 
-def covered(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
-    """Whether sorted spans leave no character of a range out."""
-    for a, b in spans:
-        if a > start:
-            break
-        start = max(start, b)
-    return start >= end
+def united(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover together."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def covered(start: int, end: int, stretches: tuple[list[int], list[int]]) -> bool:
+    """Whether the stretches leave no character of a range out."""
+    at = bisect_right(stretches[0], start) - 1
+    return at >= 0 and end <= stretches[1][at]
+
+
+def overlapping(
+    ranges: list[tuple[int, int]], spans: list[tuple[int, int]]
+) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """Each range, in order, with the spans that touch it; one pass over both."""
+    left = sorted(spans, reverse=True)
+    near: list[tuple[int, int]] = []
+    for start, end in ranges:
+        near = [span for span in near if span[1] > start]
+        while left and left[-1][0] < end:
+            span = left.pop()
+            if span[1] > start:
+                near.append(span)
+        yield start, end, list(near)
 
 
 @dataclass
@@ -264,18 +294,16 @@ def _findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         windows, labels = [], []
         for text in batch.column(0).to_pylist():
-            spans = rule_spans(text)
-            for start, end in candidates(text):
-                hits = [(a, b) for a, _, b in spans if a < end and start < b]
-                # without its name as well, so that the value alone is learnt
-                bare = " " * start + text[start:] if hits else text
+            spans = [(a, b) for a, _, b in rule_spans(text)]
+            for start, end, hits in overlapping(candidates(text), spans):
                 for at in places(start, end):
                     low, high = max(start, at - BEFORE), min(end, at + LENGTH - BEFORE)
                     seen = [min(b, high) - max(a, low) >= min(20, b - max(a, start)) for a, b in hits]
                     if hits and not any(seen):
                         continue  # the rest of a token that a rule touches may be either
-                    for own in {text, bare}:
-                        windows.append(window(own, at).tobytes())
+                    # without its name as well, so that the value alone is learnt
+                    for own in {window(text, at).tobytes(), window(text, at, start if hits else 0).tobytes()}:
+                        windows.append(own)
                         labels.append(int(bool(hits)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(windows, pa.binary()), pa.array(labels, pa.int32())], names=["window", "label"]
@@ -315,7 +343,7 @@ def all_spans(net: Network, texts: list[str]) -> list[list[tuple[int, int, int]]
             windows += [window(text, at) for at in places(start, end)]
     if windows:
         best = np.maximum.reduceat(net.score(np.stack(windows)), [first for *_, first in where])
-        rules = [sorted((s, e) for s, _, e in own) for own in spans]
+        rules = [united([(s, e) for s, _, e in own]) for own in spans]
         for (i, start, end, _), score in zip(where, best):
             if score >= net.threshold and not covered(start, end, rules[i]):
                 spans[i].append((start, KINDS.index("model"), end))
