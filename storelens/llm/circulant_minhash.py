@@ -10,9 +10,10 @@ Equal sets are one class from the start. Then each class is compared with one
 other, the smallest it shares a bucket with, and the links are closed to
 components. A bucket whose members are all connected is done. The members of the
 other buckets meet once more in blocks: a task gets a bucket, or two parts of a
-large one, and compares members of different components as rows of a bit matrix,
-so pairs are never rows of a table. No bucket is capped, and every candidate pair
-is either compared or known to be connected.
+large one, and compares members of different components that have one of their
+rarest shingles in common, which similar sets must have; pairs are never rows of a
+table. No bucket is capped, and every candidate pair is either compared, known to
+be connected, or known to differ.
 
 Nulls, empty texts and texts of white space have no shingles: they link with
 nothing and are their own component. Rows without an id are returned with a null
@@ -206,34 +207,64 @@ def _compare_block(words: int, percent: int):
     return run
 
 
+def _rare_first(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all sets as numbers, rare ones first within each set, and
+    where each set begins. A number is smaller the fewer sets have the shingle."""
+    sizes = np.array([len(s) for s in sets])
+    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    often = np.bincount(place)
+    number = np.empty(len(often), dtype=np.int64)
+    number[np.argsort(often, kind="stable")] = np.arange(len(often))
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    tokens = number[place]
+    return tokens[np.lexsort((tokens, owner))], np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges first .. last - 1, one after the other."""
+    sizes = last - first
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - sizes), sizes)
+
+
 def _block_links(
     sets: list[np.ndarray], comps: np.ndarray, part: np.ndarray, percent: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Links between members of different components (and parts, if there are
-    two). Each member outside the largest component is compared with all others;
-    one link to each component is enough."""
+    """Links between members of different components (and parts, if there are two).
+
+    The smaller set of a link has 2t / (1 + t) of its shingles in common at least,
+    the larger one t of them. Of the shingles in the order of their rarity, the
+    first ones of both, as many as may be missing and one more, therefore have one
+    in common. Members are indexed by these and only those that meet there are
+    compared. One link to each component is enough.
+    """
     sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    values, place = np.unique(np.concatenate(sets), return_inverse=True)
-    shared = np.bincount(place, minlength=len(values)) > 1  # others add nothing to an intersection
-    column = np.cumsum(shared) - 1
-    keep = shared[place]
-    width = int(shared.sum()) // 8 + 8
-    bits = np.zeros((len(sets), width - width % 8 + 8), dtype=np.uint8)
-    at = column[place[keep]]
-    np.bitwise_or.at(bits, (owner[keep], at // 8), (1 << (at % 8)).astype(np.uint8))
-    lanes = bits.view(np.uint64)
-    largest = np.bincount(comps).argmax()
+    tokens, first = _rare_first(sets)
+    indexed = sizes - -(-2 * percent * sizes // (100 + percent)) + 1
+    probed = sizes - -(-percent * sizes // 100) + 1
+    places = _ranges(first[:-1], first[:-1] + indexed)
+    keys, owners = tokens[places], np.repeat(np.arange(len(sets)), indexed)
+    order = np.argsort(keys, kind="stable")
+    keys, owners = keys[order], owners[order]
     two_parts = len(np.unique(part)) > 1
+    marked = np.zeros(int(tokens.max(initial=-1)) + 1, dtype=bool)
     one, two = [], []
-    for i in np.flatnonzero(comps != largest):
-        common = np.concatenate(
-            [np.bitwise_count(lanes[j : j + 256] & lanes[i]).sum(axis=1, dtype=np.int64) for j in range(0, len(sets), 256)]
-        )
-        linked = (100 * common >= percent * (sizes + sizes[i] - common)) & (comps != comps[i])
+    for i in range(len(sets)):
+        own = tokens[first[i] : first[i + 1]]
+        probe = own[: probed[i]]
+        met = owners[_ranges(np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right"))]
+        fits = (comps[met] != comps[i]) & ((sizes[met] < sizes[i]) | ((sizes[met] == sizes[i]) & (met < i)))
+        fits &= 100 * sizes[met] >= percent * sizes[i]
         if two_parts:
-            linked &= part != part[i]
-        found = np.flatnonzero(linked)
+            fits &= part[met] != part[i]
+        met = np.unique(met[fits])
+        if not len(met):
+            continue
+        marked[own] = True
+        starts = np.concatenate([[0], np.cumsum(sizes[met])[:-1]])
+        common = np.add.reduceat(marked[tokens[_ranges(first[met], first[met + 1])]], starts, dtype=np.int64)
+        marked[own] = False
+        found = met[100 * common >= percent * (sizes[met] + sizes[i] - common)]
         found = found[np.unique(comps[found], return_index=True)[1]]
         one += [i] * len(found)
         two += found.tolist()
