@@ -59,7 +59,8 @@ VIEWS: dict[str, str] = {
         from {part} where p_partkey % 5 = 0""",
     "snapshot_days": """
         select distinct l_shipdate as snapshot_date from {lineitem}
-        where l_shipdate > {ts} '2001-06-25 00:00:00' and l_shipdate <= {ts} '2001-08-01 00:00:00'""",
+        where l_shipdate <= {ts} '2001-08-01 00:00:00'
+          and (l_shipdate > {ts} '2001-06-25 00:00:00' or day(l_shipdate) = 1 and month(l_shipdate) % 6 = 1)""",
     "stock_daily": """
         select concat('SKU-', cast(p_partkey as string)) as internal_reference, d.snapshot_date,
                case when (p_partkey * 13 + day(d.snapshot_date) * 7) % 40 > 3 then 'True' else 'False' end as in_stock,
@@ -209,8 +210,8 @@ class RetailTables:
         return self.spark.sql(VIEWS[name].replace("{ts}", "timestamp_ntz"), **refs)
 
     def _stock_daily(self) -> DataFrame:
-        """Every product on every snapshot day. The days, at most 37, come as
-        one array, so no join of the two tables is needed."""
+        """Every product on every snapshot day: the last weeks, and two days of every
+        year before. They come as one array, so no join of the two tables is needed."""
         days = self.snapshot_days.agg(F.collect_set("snapshot_date")).scalar()
         day = F.col("snapshot_date")
         amount = (F.col("p_partkey") * 13 + F.dayofmonth(day) * 7) % 40

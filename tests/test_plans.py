@@ -40,3 +40,21 @@ def test_scans_read_only_what_is_needed(spark):
     assert schemas
     for schema in schemas:
         assert "l_tax" not in schema and "l_comment" not in schema and "o_totalprice" not in schema
+
+
+# Exchanges of a query's initial plan, at most; a change that adds one has to say so.
+EXCHANGES = {
+    "variant_window_sales": 5,
+    "stock_window": 1,
+    "top_sellers": 4,
+    "segment_purchase_stats": 14,
+    "order_items_enriched": 6,
+    "category_share": 3,
+}
+
+
+@pytest.mark.parametrize("name", list(EXCHANGES))
+def test_tables_are_moved_no_more_often_than_needed(spark, name):
+    plan = plan_of(CATALOG.queries[name].run(spark, SMALL))
+    moved = re.findall(r"(?<!Reused)Exchange (?:hash|range|RoundRobin)\w*", plan)
+    assert len(moved) <= EXCHANGES[name], moved
