@@ -48,7 +48,7 @@ EXCHANGES = {
     "stock_window": 1,
     "top_sellers": 4,
     "segment_purchase_stats": 14,
-    "order_items_enriched": 6,
+    "order_items_enriched": 9,
     "category_share": 3,
 }
 
