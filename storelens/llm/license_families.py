@@ -1,7 +1,7 @@
 """Licence notices in documents, by a trained paragraph classifier.
 
-A paragraph is a line, or the lines over which a notice is wrapped. Its words, and runs of two and three of them, are hashed
-to sparse features of a multinomial logistic regression over licence families
+A paragraph is a line, a part of a line, or the lines over which a notice is
+wrapped. Its words, and runs of two and three of them, are hashed to sparse features of a multinomial logistic regression over licence families
 and an unknown class. It is trained here on the families' usual notices with
 words dropped, doubled and put around them, and on other paragraphs: invented ones
 that speak of licences in another sense, shuffled notices, and lines of a bounded
@@ -11,12 +11,14 @@ paragraph is reported if a family is likelier than the unknown class and all
 others by a margin, and a template of that family confirms it: most of the
 template's runs of two words occur in the paragraph.
 
-Wrapped notices are looked for in runs of lines that each have a word, so a blank
-line or a bare comment sign ends them. Windows of a template's length, with some
-room for comment words, slide over the words of such a run; one that holds most of
-the template's runs of two words and reaches over a line end is classified and
-confirmed as a paragraph of its own, reported from its first to its last line.
-What a single line already says, it does not say again.
+Notices inside long lines and wrapped ones are looked for in runs of lines that
+each have a word, so a blank line or a bare comment sign ends them. Windows of a
+template's length, with some room for other words, slide over the words of such a
+run; one that holds most of the template's runs of two words is classified and
+confirmed as a paragraph of its own, whatever else its line says. It is reported
+from its first to its last line, or by itself if it is part of one line. What a
+line as a whole already says, it does not say again, so a line may have several
+families, but each once.
 
 Nulls and empty texts have no paragraphs. Documents without an id are reported
 with a null id; the same row twice is reported twice; extra columns are ignored.
@@ -87,9 +89,37 @@ TEMPLATES = {
         "Released under CC0 1.0",
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     ],
+    "ISC": [
+        "Licensed under the ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    ],
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License, Version 2.0",
+        "This program is made available under the terms of the Eclipse Public License",
+    ],
     "Unlicense": ["This is free and unencumbered software released into the public domain"],
     "Proprietary": ["All rights reserved", "Unauthorized copying of this file is strictly prohibited"],
 }
+# How source files name a family in a line of their own.
+SPDX = {
+    "MIT": ["MIT"],
+    "Apache-2.0": ["Apache-2.0"],
+    "GPL": ["GPL-2.0", "GPL-3.0"],
+    "LGPL": ["LGPL-2.1", "LGPL-3.0"],
+    "AGPL": ["AGPL-3.0"],
+    "BSD": ["BSD-2-Clause", "BSD-3-Clause"],
+    "MPL-2.0": ["MPL-2.0"],
+    "CC-BY": ["CC-BY-4.0"],
+    "CC-BY-SA": ["CC-BY-SA-4.0"],
+    "CC-BY-NC": ["CC-BY-NC-4.0"],
+    "CC0": ["CC0-1.0"],
+    "ISC": ["ISC"],
+    "EPL-2.0": ["EPL-2.0"],
+    "Unlicense": ["Unlicense"],
+}
+for _family, _names in SPDX.items():
+    TEMPLATES[_family] += [f"SPDX-License-Identifier: {name}" for name in _names]
+
 #: Paragraphs that speak of licences without granting one.
 OTHER = [
     "The driver must renew the license before the end of the year",
@@ -102,6 +132,8 @@ OTHER = [
     "the license plate of the car was found under the bridge",
     "this project was released in the spring and is now in version two",
     "the university of the commons gave attribution to the author of the work",
+    "the car was released under a dealer license plate and sold",
+    "the identifier of the license is printed on the card of the driver",
 ]
 
 BITS = 18
@@ -110,8 +142,8 @@ FAMILIES = (*TEMPLATES, "unknown")
 CONFIDENCE, CONFIRMED = 0.6, 0.7
 #: Words more than a template, half of its own and so many, that a wrapped one may have.
 ROOM = 6
-#: Bound of the sample of other paragraphs.
-SAMPLE_DOCUMENTS, SAMPLE_LINES = 1000, 3000
+#: Bounds of the sample of other paragraphs: documents, lines, characters of a line.
+SAMPLE_DOCUMENTS, SAMPLE_LINES, SAMPLE_CHARS = 1000, 3000, 2000
 
 # Words are runs of letters and digits here; other ASCII separates.
 _PLAIN = LOWER.copy()
@@ -176,9 +208,9 @@ class Classifier:
     def __post_init__(self):
         self.known = self.weights.any(axis=1)
 
-    def wrapped(self, row: np.ndarray, words) -> list[tuple[int, int]]:
+    def places(self, row: np.ndarray, words) -> list[tuple[int, int]]:
         """(first, last word) of the places that hold most of a template's runs of
-        two words and reach over a line end."""
+        two words."""
         _, _, number, line, pairs = words
         if len(pairs) == 0:
             return []
@@ -205,12 +237,14 @@ class Classifier:
                     if len(value) >= least:
                         # up to where the last of the runs has been seen
                         kept.append((-len(value), int(inside[first.max()] - at[i]), int(at[i])))
-                free = []
-                for _, size, begin in sorted(kept):  # the fullest first, the others beside them
-                    end = begin + size + 1
-                    if all(end < a or b < begin for a, b in free):
-                        free.append((begin, end))
-                found |= {(a, b) for a, b in free if number[a] != number[b]}
+                # the fullest first, the others beside them; and so by fewest other words
+                for by in (lambda w: w, lambda w: (w[0] + w[1], w)):
+                    free: list[tuple[int, int]] = []
+                    for _, size, begin in sorted(kept, key=by):
+                        end = begin + size + 1
+                        if all(end < a or b < begin for a, b in free):
+                            free.append((begin, end))
+                    found |= set(free)
         return sorted(found)
 
     def confirm(self, family: int, pairs: np.ndarray) -> float:
@@ -239,8 +273,14 @@ def _examples(others: list[str], seed: int = 13) -> tuple[list[str], np.ndarray]
                     words = around[:cut] + words + around[cut:]
                 lines.append(" ".join(words))
                 labels.append(k)
-            for _ in range(4):  # the same words without their order grant nothing
-                shuffled = list(rng.permutation(notice.split()))[: max(3, len(notice.split()) // 2)]
+            words = notice.split()
+            for turn in range(8):  # what a window may hold that begins or ends inside of it
+                away = int((1 - CONFIRMED) * (len(words) - 1))
+                cut = int(rng.integers(0, away + 1)) if turn % 2 else away
+                lines.append(" ".join(words[cut:] if turn < 4 else words[: len(words) - cut]))
+                labels.append(k)
+            for _ in range(4 if len(words) > 4 else 0):  # the same words without their order grant nothing
+                shuffled = list(rng.permutation(words))[: max(3, len(words) // 2)]
                 lines.append(" ".join(map(str, shuffled)))
                 labels.append(len(FAMILIES) - 1)
     for line in OTHER * 12:
@@ -290,19 +330,21 @@ def fit(others: list[str], epochs: int = 60, seed: int = 4) -> Classifier:
 
 def train(docs: DataFrame, text_col: str = "text") -> Classifier:
     """The classifier for a table: other paragraphs come from about
-    SAMPLE_DOCUMENTS of its texts, SAMPLE_LINES lines at most."""
+    SAMPLE_DOCUMENTS of its texts, SAMPLE_LINES lines at most, of which
+    longer ones than SAMPLE_CHARS are not taken."""
     prepared(docs.sparkSession)
     texts = rows_as(docs, text=text_col).where("text is not null")
     share = max(texts.count() // SAMPLE_DOCUMENTS, 1)
     sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
-    lines = sample.select(F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''").distinct()
+    lines = sample.select(F.explode(F.split("text", "\n")).alias("line")).distinct()
+    lines = lines.where((F.trim("line") != "") & (F.length("line") <= SAMPLE_CHARS))
     rows = lines.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_LINES).collect()
     known = np.concatenate([_of_lines([n])[3][2][1] for notices in TEMPLATES.values() for n in notices])
     others = []
     for row in rows:
         threes = _of_lines([row["line"]])[3][2][1]
         if not np.isin(threes, known).any():
-            others.append(row["line"][:2000])
+            others.append(row["line"])
     return fit(others)
 
 
@@ -334,26 +376,28 @@ def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_c
                 begin = offsets[row[i]]
                 said.add((i, family))
                 out.append((row[i], starts[i] - begin, ends[i] - begin, FAMILIES[family], chance, share))
-            places = classifier.wrapped(row, words)
+            places = classifier.places(row, words)
             texts = [data[words[0][a] : words[1][b]] for a, b in places]
             # each place as a line of its own
             joined = [np.append(np.where((t == 0x0A) | (t == 0x0D), 0x20, t), 0x0A).astype(np.uint8) for t in texts]
             if joined:
                 own = line_features(np.array([0, sum(map(len, joined))]), np.concatenate(joined))
-                wrapped = []
+                windows = []
                 for i, family, chance, share in _notices(classifier, len(places), own[3]):
                     first, last = (int(words[2][w]) for w in places[i])
-                    wrapped.append((-share, -chance, *places[i], first, last, family))
+                    windows.append((-share, -chance, *places[i], first, last, family))
                 taken: list[tuple[int, int]] = []
-                for share, chance, low, high, first, last, family in sorted(wrapped):
+                for share, chance, low, high, first, last, family in sorted(windows):
                     # of places that overlap, the one that has most of a template
                     if any(low <= b and a <= high for a, b in taken):
                         continue
                     taken.append((low, high))
                     if any((line, family) in said for line in range(first, last + 1)):
                         continue
+                    said |= {(line, family) for line in range(first, last + 1)}
                     begin = offsets[row[first]]
-                    out.append((row[first], starts[first] - begin, ends[last] - begin, FAMILIES[family], -chance, -share))
+                    span = (starts[first], ends[last]) if first < last else (words[0][low], words[1][high])
+                    out.append((row[first], span[0] - begin, span[1] - begin, FAMILIES[family], -chance, -share))
             columns = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [
