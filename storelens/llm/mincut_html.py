@@ -10,8 +10,10 @@ neighbours unless a border between containers separates them.
 
 The classifier is trained here, on blocks of a bounded sample of pages whose
 containers say what they are (articles; navigation, forms, comments and so on).
-Its inputs are the names of the containers and what the text looks like, so it
-also judges blocks whose containers say nothing.
+Its inputs are the names of the containers, what the text looks like, and how much
+of the page's text is in the same container. It learns from every block a second
+time without the names, so it also judges blocks whose containers say nothing. A
+form that holds most of a page's text is a wrapper, and its names say nothing.
 
 A null or empty page has no text. One row comes out per row, copies and null ids
 included; extra columns are ignored; broken markup is read as browsers do for
@@ -24,7 +26,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -56,7 +58,7 @@ BAD = {"nav", "footer", "aside", "form", "header", "menu", "sidebar", "ad", "ads
        "popup", "subscribe", "newsletter", "login", "search", "toolbar", "dialog", "disqus", "reviews", "copyright"}
 
 BUCKETS = 2048
-SHAPES = 7
+SHAPES = 8
 #: Bounds of the training sample.
 SAMPLE_PAGES, SAMPLE_BLOCKS = 600, 20_000
 ADJACENT, SIBLING = 0.6, 1.2
@@ -66,8 +68,10 @@ ADJACENT, SIBLING = 0.6, 1.2
 class Block:
     text: str
     path: tuple[int, ...]  # identifiers of the open elements
-    names: tuple[str, ...]  # words of their tags, classes and ids, outermost first
+    elements: tuple[tuple[str, int, tuple[str, ...]], ...]  # tag, identifier and words of names, outermost first
     linked: int  # characters inside links
+    names: tuple[str, ...] = ()  # words of tags, classes and ids
+    share: float = 0.0  # of the page's text, what is in the same container
 
 
 class BlockReader(HTMLParser):
@@ -84,9 +88,8 @@ class BlockReader(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            names = tuple(n for _, _, own in self.open for n in own)
             path = tuple(i for tag, i, _ in self.open if tag not in INLINE)
-            self.blocks.append(Block(text, path, names, self.linked))
+            self.blocks.append(Block(text, path, tuple(self.open), self.linked))
         self.parts, self.linked = [], 0
 
     def _in_head(self) -> bool:
@@ -161,9 +164,24 @@ def read_blocks(html: str) -> list[Block]:
     reader = BlockReader()
     reader.feed(html)
     reader.close()
+    total = sum(len(block.text) for block in reader.blocks)
+    inside: Counter[int] = Counter()  # characters by form, and by the element around a block
+    for block in reader.blocks:
+        forms = {i for tag, i, _ in block.elements if tag == "form"}
+        for i in forms | {-_parent(block)}:
+            inside[i] += len(block.text)
+    for block in reader.blocks:
+        kept = [own for tag, i, own in block.elements if tag != "form" or 2 * inside[i] <= total]
+        block.names = tuple(n for own in kept for n in own)
+        block.share = inside[-_parent(block)] / total
     return reader.blocks
 
 
+def _parent(block: Block) -> int:
+    """The identifier of the element around a block's own; 0 is the page."""
+    return block.path[-2] if len(block.path) > 1 else 0
+
+
 def features(block: Block, place: float) -> tuple[list[int], list[float]]:
     """Buckets of container names, and what the text looks like."""
     words = block.text.split()
@@ -178,6 +196,7 @@ def features(block: Block, place: float) -> tuple[list[int], list[float]]:
         sum(w[-1] in ",;:" for w in words) / n,
         len(block.text) / n / 10,
         abs(place - 0.5),
+        block.share,
     ]
     return buckets, shapes
 
@@ -200,7 +219,8 @@ def _sampled_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for i, block in enumerate(blocks):
                 label = told(block)
                 if label is not None:
-                    rows.append((*features(block, i / len(blocks)), label))
+                    buckets, shapes = features(block, i / len(blocks))
+                    rows += [(buckets, shapes, label), ([], shapes, label)]
         columns = list(zip(*rows)) or [(), (), ()]
         kinds = (pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["buckets", "shapes", "label"])
@@ -212,7 +232,7 @@ def prior() -> np.ndarray:
     for names, lean in ((GOOD, 3.0), (BAD, -4.0)):
         for name in names:
             weights[zlib.crc32(name.encode()) % BUCKETS] = lean
-    weights[BUCKETS : BUCKETS + SHAPES] = [-1.0, 1.5, -3.0, 1.0, 1.0, 0.0, 0.0]
+    weights[BUCKETS : BUCKETS + SHAPES] = [-1.0, 1.5, -3.0, 1.0, 1.0, 0.0, 0.0, 0.0]
     return weights
 
 
@@ -333,7 +353,7 @@ def main_text(html: str, weights: np.ndarray) -> str:
     for i, block in enumerate(blocks):
         if i:
             edges.append((i - 1, i, ADJACENT * _nearness(blocks[i - 1].path, block.path)))
-        parent = block.path[-2] if len(block.path) > 1 else 0
+        parent = _parent(block)
         if parent in last and last[parent] != i - 1:
             edges.append((last[parent], i, SIBLING * _nearness(blocks[last[parent]].path, block.path)))
         last[parent] = i
