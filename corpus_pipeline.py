@@ -39,8 +39,9 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap a benchmark text go."""
-    return _without(docs, contaminated(docs, read(spark, sf_dir, "benchmark"), shortest=1))
+    """Documents that overlap a benchmark text of five words or more go; a shorter
+    one, such as a single common word, says nothing about where a text is from."""
+    return _without(docs, contaminated(docs, read(spark, sf_dir, "benchmark")))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
