@@ -1,13 +1,14 @@
 """Secrets found by fixed rules and by a character convolutional network.
 
-The rules give three kinds of spans (assign, access, hex). Every long token with
-letters and digits is a candidate, whether rules touch it or not, and the network
-reads all of it with its surroundings: a window slides over the token, and the
-highest score of its places counts. It is trained here, in numpy, on labelled
+The rules give three kinds of spans (assign, access, hex). Every token of 16
+characters or more with letters is a candidate, whether rules touch it or not, but
+for those of letters of one case and marks below 24, which are words. The network
+reads all of a candidate with its surroundings: a window slides over the token, and
+the highest score of its places counts. It is trained here, in numpy, on labelled
 findings: what the rules find in a bounded sample of documents, with its name
 taken away half of the time, keys generated in other shapes, and as the other
-class the candidates that no rule finds and generated addresses, links, versions
-and numbers. Its scores are calibrated on findings it was not trained on, and its
+class the candidates that no rule finds and generated addresses, links, versions,
+numbers, long words and identifiers of programs. Its scores are calibrated on findings it was not trained on, and its
 threshold is the highest one that keeps the demanded recall there, on those that
 no rule catches. Candidates above it are added whole as spans of kind ``model``
 unless rules cover every character of them; spans of the rules always stay.
@@ -43,7 +44,8 @@ KINDS = ("assign", "access", "hex", "model")
 _NAMES = ("passw", "secret", "token", "api")
 
 #: Any long run of the characters secrets consist of.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+WORD, WORD_CHARS = re.compile(r"[a-z+/_.=-]*|[A-Z+/_.=-]*"), 24
 BEFORE, LENGTH = 24, 72
 #: The window moves on by so much, and to so far behind the candidate.
 STEP, AFTER = 24, 24
@@ -77,11 +79,12 @@ def rule_spans(text: str) -> list[tuple[int, str, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Long runs with letters and at least two digits."""
+    """Long runs with letters that are no words."""
     found = []
     for m in CANDIDATE.finditer(text):
         value = m[0]
-        if sum(map(value.count, "0123456789")) >= 2 and not value.isdigit() and any(c.isalpha() for c in value):
+        word = len(value) < WORD_CHARS and WORD.fullmatch(value)
+        if not word and any(c.isalpha() for c in value):
             found.append(m.span())
     return found
 
@@ -289,6 +292,66 @@ def generated_inside(n: int, seed: int = 4) -> tuple[list[tuple[str, int]], list
     return made, labels
 
 
+# What generated identifiers and words are made of.
+_PARTS = (
+    "get set http response version user name list map load save read write file path data base client server request "
+    "handler error value index count total parse build make create update delete find search sort filter merge split "
+    "join table column row key token cache queue node tree graph point line color size first last next open close send "
+    "connect process thread job event state config option util helper manager factory service provider controller model "
+    "view test case suite"
+).split()
+_SYLLABLES = (
+    "ba be ce co da de en er es fi ga ge he in is ja ko la li lo ma me mi na ne no on or pa pe qu ra re ri ro sa se si so "
+    "sta str ta te th ti to tra tri un ur va ve vi wa we wi za ch sch ung tion ment able ing ed ly ness est ism ous ive"
+).split()
+
+
+def generated_names(n: int, seed: int = 5) -> tuple[list[tuple[str, int]], list[int]]:
+    """Labelled keys without digits or of few characters, and identifiers, paths and
+    long words with and without numbers."""
+    rng = np.random.default_rng(seed)
+    lower, mixed = list(_CHARS[65:91]), list(_CHARS[33:59] + _CHARS[65:91])
+    words = "the of und les para on value see at for key id with page and ref return new class import def".split()
+
+    def part() -> str:
+        if rng.random() < 0.5:
+            return str(rng.choice(_PARTS))
+        return "".join(rng.choice(_SYLLABLES, int(rng.integers(2, 4))))
+
+    def key() -> str:
+        kind, size = rng.integers(9), int(rng.integers(24, 45))
+        if kind < 6:
+            value = "".join(rng.choice(mixed if kind < 3 else lower, size))
+            return value.upper() if kind == 5 else value
+        return "".join(rng.choice(mixed + list("0123456789"), int(rng.integers(16, 26))))
+
+    def name() -> str:
+        parts = [part() for _ in range(int(rng.integers(3, 7)))]
+        number = str(rng.integers(0, 1000)) if rng.random() < 0.5 else ""
+        kind = int(rng.integers(9))
+        if kind < 3:
+            value = "".join(p.capitalize() for p in parts) + number
+            value = value[0].lower() + value[1:] if rng.random() < 0.5 else value
+        elif kind < 8:
+            value = ("_", "-", ".", "_", "")[kind - 3].join(parts) + number
+            value = value.upper() if kind == 6 else value
+        else:
+            parts = [p.capitalize() if rng.random() < 0.3 else p for p in parts]
+            value = "/".join(parts) + str(rng.choice(["", "", ".py", ".html", ".java", ".md"]))
+        while len(value) < 16:
+            value += part()
+        return value
+
+    made, labels = [], []
+    for i in range(n):
+        lead = str(rng.choice(["", "", "= ", "(", '"', ": ", "'"]))
+        before = " ".join(rng.choice(words, 4)) + " " + lead
+        tail = str(rng.choice([" ", ". ", "\n", '" ', "()", "; ", ", "]))
+        made.append((before + (key() if i % 2 else name()) + tail + " ".join(rng.choice(words, 6)), len(before)))
+        labels.append(i % 2)
+    return made, labels
+
+
 def _findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of candidates with the rules' verdict."""
     for batch in batches:
@@ -312,14 +375,15 @@ def _findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, text_col: str = "text") -> Network:
     """The network for a table: from findings in SAMPLE_DOCUMENTS of its texts at
-    most, SAMPLE_EACH of each class at most, and as many generated ones."""
+    most, SAMPLE_EACH of each class at most, and four times as many generated ones."""
     texts = rows_as(docs, text=text_col).where("text is not null")
     found = _sample(texts).mapInArrow(_findings, "window binary, label int").distinct()
     rows = []
     for label in (0, 1):
         one = found.where(F.col("label") == label).orderBy(F.xxhash64("window"), "window").limit(SAMPLE_EACH)
         rows += one.collect()
-    made, labels = (a + b for a, b in zip(generated(2 * SAMPLE_EACH), generated_inside(2 * SAMPLE_EACH)))
+    generators = ((generated, 2), (generated_inside, 2), (generated_names, 4))
+    made, labels = (sum(own, []) for own in zip(*[make(n * SAMPLE_EACH) for make, n in generators]))
     x = [np.frombuffer(r["window"], np.uint8) for r in rows] + [window(t, at) for t, at in made]
     y = [r["label"] for r in rows] + labels
     own = [False] * len(rows) + [bool(label) and not rule_spans(t) for (t, _), label in zip(made, labels)]
