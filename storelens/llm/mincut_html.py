@@ -10,10 +10,11 @@ neighbours unless a border between containers separates them.
 
 The classifier is trained here, on blocks of a bounded sample of pages whose
 containers say what they are (articles; navigation, forms, comments and so on).
-Its inputs are the names of the containers, what the text looks like, and how much
-of the page's text is in the same container. It learns from every block a second
-time without the names, so it also judges blocks whose containers say nothing. A
-form that holds most of a page's text is a wrapper, and its names say nothing.
+Its inputs are the names of the containers and what the text looks like. It learns
+from every block a second time without the names, with weights of their own for what
+the text looks like and for how much of the page's text is in the same container, so
+it also judges blocks whose containers say nothing. A form that holds most of a
+page's text is a wrapper, and its names say nothing.
 
 A null or empty page has no text. One row comes out per row, copies and null ids
 included; extra columns are ignored; broken markup is read as browsers do for
@@ -28,7 +29,7 @@ import re
 import zlib
 from collections import Counter, deque
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from html.parser import HTMLParser
 
 import numpy as np
@@ -58,7 +59,7 @@ BAD = {"nav", "footer", "aside", "form", "header", "menu", "sidebar", "ad", "ads
        "popup", "subscribe", "newsletter", "login", "search", "toolbar", "dialog", "disqus", "reviews", "copyright"}
 
 BUCKETS = 2048
-SHAPES = 8
+SHAPES = 16
 #: Bounds of the training sample.
 SAMPLE_PAGES, SAMPLE_BLOCKS = 600, 20_000
 ADJACENT, SIBLING = 0.6, 1.2
@@ -183,10 +184,10 @@ def _parent(block: Block) -> int:
 
 
 def features(block: Block, place: float) -> tuple[list[int], list[float]]:
-    """Buckets of container names, and what the text looks like."""
+    """Buckets of container names, and what the text looks like: in the first half
+    if a container says what it is, else in the second."""
     words = block.text.split()
-    names = {n for n in block.names}
-    buckets = sorted({zlib.crc32(n.encode()) % BUCKETS for n in names})
+    buckets = sorted({zlib.crc32(n.encode()) % BUCKETS for n in block.names})
     n = len(words)
     shapes = [
         1.0,
@@ -196,9 +197,16 @@ def features(block: Block, place: float) -> tuple[list[int], list[float]]:
         sum(w[-1] in ",;:" for w in words) / n,
         len(block.text) / n / 10,
         abs(place - 0.5),
-        block.share,
     ]
-    return buckets, shapes
+    if told(block) is not None:
+        return buckets, [*shapes, 0.0] + [0.0] * (SHAPES // 2)
+    return buckets, [0.0] * (SHAPES // 2) + [*shapes, block.share]
+
+
+def unnamed(block: Block) -> Block:
+    """The block as if its containers said nothing."""
+    tags = (tag for tag, _, _ in block.elements)
+    return replace(block, names=tuple(t for t in tags if t not in GOOD and t not in BAD))
 
 
 def told(block: Block) -> int | None:
@@ -219,8 +227,7 @@ def _sampled_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for i, block in enumerate(blocks):
                 label = told(block)
                 if label is not None:
-                    buckets, shapes = features(block, i / len(blocks))
-                    rows += [(buckets, shapes, label), ([], shapes, label)]
+                    rows += [(*features(b, i / len(blocks)), label) for b in (block, unnamed(block))]
         columns = list(zip(*rows)) or [(), (), ()]
         kinds = (pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["buckets", "shapes", "label"])
@@ -232,7 +239,7 @@ def prior() -> np.ndarray:
     for names, lean in ((GOOD, 3.0), (BAD, -4.0)):
         for name in names:
             weights[zlib.crc32(name.encode()) % BUCKETS] = lean
-    weights[BUCKETS : BUCKETS + SHAPES] = [-1.0, 1.5, -3.0, 1.0, 1.0, 0.0, 0.0, 0.0]
+    weights[BUCKETS : BUCKETS + SHAPES] = 2 * [-1.0, 1.5, -3.0, 1.0, 1.0, 0.0, 0.0, 0.0]
     return weights
 
 
