@@ -227,6 +227,21 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - sizes), sizes)
 
 
+def _postings(
+    tokens: np.ndarray, first: np.ndarray, members: np.ndarray, prefix: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of the members' prefixes in order, and whose they are."""
+    places = _ranges(first[members], first[members] + prefix)
+    order = np.argsort(tokens[places], kind="stable")
+    return tokens[places][order], np.repeat(members, prefix)[order]
+
+
+def _met(postings: tuple[np.ndarray, np.ndarray], probe: np.ndarray) -> np.ndarray:
+    """Members that have one of the probe's tokens, once for each."""
+    keys, owners = postings
+    return owners[_ranges(np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right"))]
+
+
 def _block_links(
     sets: list[np.ndarray], comps: np.ndarray, part: np.ndarray, percent: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -242,22 +257,25 @@ def _block_links(
     tokens, first = _rare_first(sets)
     indexed = sizes - -(-2 * percent * sizes // (100 + percent)) + 1
     probed = sizes - -(-percent * sizes // 100) + 1
-    places = _ranges(first[:-1], first[:-1] + indexed)
-    keys, owners = tokens[places], np.repeat(np.arange(len(sets)), indexed)
-    order = np.argsort(keys, kind="stable")
-    keys, owners = keys[order], owners[order]
+    everyone = np.arange(len(sets))
+    most = comps == np.bincount(comps).argmax()
+    # members of the largest component, often most of a bucket, are only looked up:
+    # by what smaller sets are indexed by, and as larger sets by what they probe with
+    smaller = _postings(tokens, first, everyone, indexed)
+    larger = _postings(tokens, first, everyone[most], probed[most])
     two_parts = len(np.unique(part)) > 1
     marked = np.zeros(int(tokens.max(initial=-1)) + 1, dtype=bool)
     one, two = [], []
-    for i in range(len(sets)):
+    for i in everyone[~most]:
         own = tokens[first[i] : first[i + 1]]
-        probe = own[: probed[i]]
-        met = owners[_ranges(np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right"))]
-        fits = (comps[met] != comps[i]) & ((sizes[met] < sizes[i]) | ((sizes[met] == sizes[i]) & (met < i)))
-        fits &= 100 * sizes[met] >= percent * sizes[i]
+        met = _met(smaller, own[: probed[i]])
+        met = met[(sizes[met] < sizes[i]) | ((sizes[met] == sizes[i]) & ((met < i) | most[met]))]
+        above = _met(larger, own[: indexed[i]])
+        met = np.unique(np.concatenate([met, above[sizes[above] >= sizes[i]]]))
+        fits = (comps[met] != comps[i]) & (100 * np.minimum(sizes[met], sizes[i]) >= percent * np.maximum(sizes[met], sizes[i]))
         if two_parts:
             fits &= part[met] != part[i]
-        met = np.unique(met[fits])
+        met = met[fits]
         if not len(met):
             continue
         marked[own] = True

@@ -77,3 +77,14 @@ def test_templates_through_the_query(spark):
     found = circulant_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), words=2)
     linked = {r["doc_id"]: r["component_id"] for r in found.collect() if r["doc_id"] != r["component_id"]}
     assert linked == {4000 + i: i for i in range(5)}
+
+
+def test_a_component_that_holds_most_of_a_bucket_is_only_looked_up():
+    rng = np.random.default_rng(8)
+    base = rng.integers(1, 1 << 62, 300, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(300) > 0.02], rng.integers(1, 1 << 62, 3, dtype=np.uint64)])) for _ in range(4000)]
+    sets += [np.unique(np.concatenate([base[:240], rng.integers(1, 1 << 62, 60, dtype=np.uint64)])) for _ in range(50)]
+    comps = np.array([0] * 4000 + list(range(1, 51)))
+    start = time.time()
+    one, _ = circulant_minhash._block_links(sets, comps, np.zeros(len(sets), int), 80)
+    assert len(one) == 0 and time.time() - start < 10
