@@ -27,6 +27,14 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def strip_cell(name: str) -> Column:
+    """A column's texts stripped, null as the empty string. Texts that begin and end
+    with a visible ASCII character, as most do, are not searched for white space."""
+    c = F.col(f"`{name}`")
+    visible = [F.ascii(end).between(0x21, 0x7E) for end in (c, F.substring(c, -1, 1))]
+    return F.when(visible[0] & visible[1], c).otherwise(nonempty(c))
+
+
 def tokens_to_null(c: Column) -> Column:
     """Null for the declared null tokens, tested before any trimming."""
     return F.when(~c.isin(*NULL_TOKENS), c)

@@ -50,9 +50,10 @@ def unpivot_sizes(
     columns their file has, the position is the one in that file.
     """
     places = {column: F.lit(pos) for pos, column in enumerate(sizes)}
+    own = []
     if "header" in sheet.columns:
-        own = F.filter("header", lambda h: h.isin(*sizes))
-        places = {c: (F.array_position(own, F.lit(c)) - 1).cast("int") for c in sizes}
+        own = [F.array_intersect("header", F.array(*map(F.lit, sizes))).alias("__own")]
+        places = {c: (F.array_position("__own", F.lit(c)) - 1).cast("int") for c in sizes}
     cells = F.array(
         *[
             F.struct(
@@ -63,10 +64,13 @@ def unpivot_sizes(
             for column, size in sizes.items()
         ]
     )
-    filled = F.filter(cells, lambda cell: cell["amount"] != 0)
+    # a lambda over the cells would be interpreted, and with it all they are made of
+    needed = dict.fromkeys([*keys, parent, *sizes])
     return (
         sheet.filter(F.col(parent) != "")
-        .select(*keys, F.col(parent).alias("parent"), F.inline(filled))
+        .select(*[F.col(f"`{c}`") for c in needed], *own)
+        .select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{parent}`").alias("parent"), F.inline(cells))
+        .filter(F.col("amount") != 0)
         .withColumn("qty", F.col("amount").try_cast("bigint"))
         .drop("amount")
     )

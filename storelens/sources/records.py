@@ -15,9 +15,12 @@ without a carriage return.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from storelens.functions.text import strip
 from storelens.operators.ordering import carry_forward
 from storelens.session import stage
 
@@ -132,10 +135,13 @@ def _splits(lines: DataFrame) -> DataFrame:
     utf_8, windows = decodable(F.col("value"))
     summed = lines.groupBy(*SPLIT).agg(
         F.max("line").alias("n"),
-        F.max_by("after", "line").alias("end"),
+        # as a number, which an aggregate by hash can hold
+        F.max_by(F.col("after.fixed").cast("int") * 2 + F.col("after.flips").cast("int"), "line").alias("end"),
         F.bool_and(utf_8).alias("utf_8"),
         F.bool_and(windows).alias("windows"),
     )
+    end = F.struct((F.col("end") >= 2).alias("fixed"), (F.col("end") % 2 == 1).alias("flips"))
+    summed = summed.withColumn("end", end)
     file = Window.partitionBy("file_path")
     before = file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     swaps = F.count_if(~F.col("end.fixed") & F.col("end.flips")).over(before)
@@ -177,6 +183,11 @@ def read_records(
 
     ``encoding`` is what all files have; by default it is found out per file.
     """
+    return _texts(_raw_records(spark, path, encoding, max_bytes))
+
+
+def _raw_records(spark: SparkSession, path: str, encoding: str | None, max_bytes: int) -> DataFrame:
+    """Records as the bytes they have in the file."""
     lines = stage(_with_states(_lines(spark, path)), "csv-lines")
     splits = stage(_splits(lines), "csv-splits")
     placed = lines.join(splits, SPLIT).withColumn("row_no", F.col("lines_before") + F.col("line"))
@@ -192,10 +203,15 @@ def read_records(
     single = placed.filter("starts and ends").select(*columns)
     parts = placed.filter("not (starts and ends)").select(*columns, "starts")
     records = single.unionByName(_whole(parts, max_bytes))
+    # told by the bytes, in every encoding the same: a filter on the text decodes it again
+    return records.filter(~F.col("value").isin("", "\r"))
+
+
+def _texts(records: DataFrame) -> DataFrame:
+    others = [c for c in records.columns if c != "value"]
     text = F.col("text")
     bare = F.when(text.endswith("\r"), F.expr("left(text, length(text) - 1)")).otherwise(text)
-    records = records.select(*columns[:-1], _decoded("value").alias("text")).withColumn("text", bare)
-    return records.filter(text != "")
+    return records.select(*others, _decoded("value").alias("text")).withColumn("text", bare)
 
 
 def _decoded(name: str) -> Column:
@@ -208,13 +224,24 @@ def _decoded(name: str) -> Column:
     )
 
 
-def _cells(text: str, width: int) -> Column:
-    """The cells of a record as texts, ``width`` of them."""
+def _with_cells(df: DataFrame, text: str, width: int, name: str) -> DataFrame:
+    """Add the cells of a record as texts, ``width`` of them at least.
+
+    A record without quotes and line ends is cut at its commas, the others are parsed,
+    once each.
+    """
+    quoted = reduce(Column.__or__, [F.col(text).contains(c) for c in '"\r\n\0'])
     names = [f"c{i}" for i in range(width)]
     parsed = F.from_csv(
-        text, ", ".join(f"{n} string" for n in names), {"quote": '"', "escape": '"', "multiLine": "true"}
+        F.when(quoted, F.col(text)),
+        ", ".join(f"{n} string" for n in names),
+        {"quote": '"', "escape": '"', "multiLine": "true"},
     )
-    return F.array(*[F.coalesce(parsed[n], F.lit("")) for n in names])
+    own = F.array(*[F.coalesce(F.col("__parsed")[n], F.lit("")) for n in names])
+    cut = F.split(text, ",")
+    lacking = F.array_repeat(F.lit(""), F.lit(width) - F.size(cut))
+    cells = F.when(quoted, own).when(F.size(cut) < width, F.concat(cut, lacking)).otherwise(cut)
+    return df.withColumn("__parsed", parsed).withColumn(name, cells).drop("__parsed")
 
 
 def _safe_names(header: Column) -> Column:
@@ -229,29 +256,82 @@ def _safe_names(header: Column) -> Column:
     )
 
 
+def _read_headers(records: DataFrame) -> tuple[DataFrame, int]:
+    """(file, file_path, header_row, header, filled) of every file of raw records,
+    ``filled`` where it has rows below the header, and the width of the widest header."""
+    rows = records.groupBy("file_path").agg(
+        F.min("row_no").alias("header_row"), F.max("row_no").alias("last_row")
+    )
+    # the first rows are plain minima, so that no line is sorted or decoded for its text
+    rows = stage(rows, "csv-first-rows")
+    first = records.withColumnRenamed("row_no", "header_row").join(rows, ["file_path", "header_row"])
+    first = _texts(first).withColumn("width", _ends_inside(F.col("text"))["cells"])
+    first = stage(first, "csv-headers")
+    width = first.agg(F.max("width")).first()[0]  # the widest header
+    if width is None:
+        raise FileNotFoundError("no CSV files with a header")
+    headers = _with_cells(first, "text", width, "named").select(
+        "file",
+        "file_path",
+        "header_row",
+        _safe_names(F.slice("named", F.lit(1), F.col("width"))).alias("header"),
+        (F.col("last_row") > F.col("header_row")).alias("filled"),
+    )
+    return headers, width
+
+
+def _with_headers(
+    spark: SparkSession, path: str, encoding: str | None, max_bytes: int
+) -> tuple[DataFrame, DataFrame, int]:
+    raw = _raw_records(spark, path, encoding, max_bytes)
+    try:
+        headers, width = _read_headers(raw)
+    except FileNotFoundError as error:
+        raise FileNotFoundError(f"{error} in {path}") from None
+    return _texts(raw), headers, width
+
+
 def read_cells(
     spark: SparkSession, path: str, encoding: str | None = None, max_bytes: int = MAX_RECORD_BYTES
 ) -> DataFrame:
     """(file, row_no, header, cells) of every row of a folder's CSV files: ``cells``
     maps the names in ``header``, the first record of the row's own file, to texts.
     However many different headers there are, all files go through one plan."""
-    records = read_records(spark, path, encoding, max_bytes)
-    first = records.groupBy("file_path").agg(
-        F.min("row_no").alias("header_row"), F.min_by("text", "row_no").alias("header_text")
-    )
-    first = first.withColumn("width", _ends_inside(F.col("header_text"))["cells"])
-    first = stage(first, "csv-headers")
-    width = first.agg(F.max("width")).first()[0]  # the widest header
-    if width is None:
-        raise FileNotFoundError(f"no CSV files with a header in {path}")
-    headers = first.select(
+    records, headers, width = _with_headers(spark, path, encoding, max_bytes)
+    rows = records.join(headers.drop("filled", "file"), "file_path").filter(F.col("row_no") > F.col("header_row"))
+    rows = _with_cells(rows, "text", width, "own")
+    own = F.slice("own", F.lit(1), F.size("header"))
+    return rows.select("file", "file_path", "row_no", "header", F.map_from_arrays("header", own).alias("cells"))
+
+
+def read_wide(
+    spark: SparkSession,
+    path: str,
+    encoding: str | None = None,
+    max_bytes: int = MAX_RECORD_BYTES,
+    own_headers: bool = False,
+) -> DataFrame:
+    """(file, row_no, a column per name) of the rows that ``read_cells`` has, with
+    ``own_headers`` also ``header``, its names stripped. Where a name is in a file is looked up once a file, and the rows
+    are stored: a filter on a cell would otherwise have every record parsed again."""
+    records, headers, width = _with_headers(spark, path, encoding, max_bytes)
+    names = column_names(headers.filter("filled"))
+    numbers = F.sequence(F.lit(0), F.size("header") - 1)
+    placed = headers.withColumn("places", F.map_from_arrays("header", numbers)).select(
         "file_path",
         "header_row",
-        _safe_names(F.slice(_cells("header_text", width), F.lit(1), F.col("width"))).alias("header"),
+        F.array(*[F.try_element_at("places", F.lit(n)) for n in names]).cast("array<int>").alias("at"),
     )
-    rows = records.join(headers, "file_path").filter(F.col("row_no") > F.col("header_row"))
-    own = F.slice(_cells("text", width), F.lit(1), F.size("header"))
-    return rows.select("file", "file_path", "row_no", "header", F.map_from_arrays("header", own).alias("cells"))
+    rows = records.join(placed, "file_path").filter(F.col("row_no") > F.col("header_row"))
+    rows = _with_cells(rows, "text", width, "own")
+    cells = [F.coalesce(F.get("own", F.col("at")[i]), F.lit("")) for i in range(len(names))]
+    # under numbers: names of a sheet may hold what a stored column's may not
+    numbered = [c.alias(f"c{i}") for i, c in enumerate(cells)]
+    stored = stage(rows.select("file_path", "row_no", *numbered), "csv-rows")
+    named = [F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
+    stripped = headers.select("file", "file_path", F.transform("header", strip).alias("header"))
+    whole = stored.join(stripped, "file_path")
+    return whole.select("file", *(["header"] if own_headers else []), "row_no", *named)
 
 
 def column_names(cells: DataFrame) -> list[str]:
