@@ -70,9 +70,11 @@ def name_pieces(t: RetailTables) -> DataFrame:
 
 
 def order_import(t: RetailTables) -> DataFrame:
-    rows = stage(groups(t), "order_groups")
+    rows = groups(t)
     found = o.order_items_enriched(o.order_items(rows, sizes(t)), lookup(t))
-    return o.order_import(stage(found, "order_items"), rows, t.contacts, AS_OF, REPS)
+    # what items were found by is not in the table
+    stored = stage(found.drop("parent", "size", "barcode"), "order_items")
+    return o.order_import(stored, rows, t.contacts, AS_OF, REPS)
 
 
 def sheet_folder(t: RetailTables) -> DataFrame:

@@ -161,8 +161,8 @@ def _splits(lines: DataFrame) -> DataFrame:
 
 def _whole(parts: DataFrame, max_bytes: int) -> DataFrame:
     """Records of several lines, put together."""
+    # stored there, and read twice
     keyed = carry_forward(parts, ["file_path"], "row_no", F.col("starts"), "first")
-    keyed = stage(keyed, "csv-parts")
     keys = ["file", "file_path", "encoding", "first"]
     sizes = keyed.groupBy(*keys).agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
     large = sizes.filter(F.col("bytes") > max_bytes).limit(1).collect()
