@@ -31,11 +31,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from storelens.llm.bpe_counts import byte_symbols
 from storelens.llm.frames import prepared, rows_as, stage
+from storelens.llm.textbytes import LOWER, SLICE_BYTES, batch_slices, slices
 
 CAPACITY = 4096
 END_ID = 1
@@ -43,100 +44,190 @@ END_ID = 1
 #: has the fewest sequences is taken.
 LARGE_SHARES = (2, 4)
 GROUPS = 32
-#: Words a worker remembers the identifiers of.
+#: Parts of words a worker remembers the identifiers of.
 REMEMBERED = 600_000
+#: Parts of words in one call to the library, whose answer is much larger than they.
+CALL = 10_000
 #: Rows that share one ranking bucket of a length, about.
 BUCKET_ROWS = 20_000
 
 
-class WordIds:
-    """Token identifiers of texts as packed 32-bit numbers.
+_BLANKS = np.arange(256, dtype=np.uint8)
+_BLANKS[[0x09, 0x0A, 0x0D]] = 0x20
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+# second bytes, after 0xC3, of the letters from U+00C0 to U+00FF
+_ACCENTED = np.zeros(256, dtype=bool)
+_ACCENTED[0x80:0xC0] = True
+_ACCENTED[[0x97, 0xB7]] = False
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]] = True
+
+
+def _binaries(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    """Neighbouring ranges of bytes, not copied."""
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64, copy=False)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
 
-    White space separates the words of this kind of vocabulary, so identifiers are
-    looked up word by word; what a worker has not met yet goes to the library in
-    one call per batch. Letters followed by punctuation are two lookups.
+
+class WordIds:
+    """Token identifiers of texts as 32-bit numbers.
+
+    White space separates the words of this kind of vocabulary. The different words
+    of a slice are found first (a word has the space after it with it), and of these
+    the different parts: letters, lower-cased, and the punctuation that follows them.
+    Only parts a worker has not met yet go to the library, many in a call and without
+    the normaliser, which has nothing left to do in them. Words of any other make-up
+    are one part and go to the library as they are.
     """
 
-    _split = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+    _letters = {byte: symbol for byte, symbol in enumerate(byte_symbols()) if byte != 0x20}
 
     def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(vocabulary)
+        self.merges = Tokenizer(self.library.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def _learn_parts(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self.parts]
-        if not new:
-            return
-        if len(self.parts) > REMEMBERED:
-            self.parts = {"": b""}
-            new = list(parts)
-        found = self.library.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids
-        ids = np.array(found, dtype="<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        assert len(stops) == len(new), "a part is not one word of the vocabulary"
-        begin = 0
-        for part, stop in zip(new, stops.tolist()):
-            self.parts[part] = ids[begin:stop].tobytes()
-            begin = stop
-
-    def _learn(self, words: set[str]) -> None:
-        split, whole = {}, []
-        for word in words:
-            match = self._split.fullmatch(word)
-            if match:
-                split[word] = (match[1].lower(), match[2])
-            else:
-                whole.append(word)
-        self._learn_parts({p for pair in split.values() for p in pair if p})
-        for word, (letters, marks) in split.items():
-            self.words[word] = self.parts[letters] + self.parts[marks]
-        for word, found in zip(whole, self.library.encode_batch_fast(whole, add_special_tokens=False)):
-            self.words[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[bytes, int] = {b"": 0, b" ": 1}
+        self.stops = np.zeros(2, dtype=np.int64)  # where each part's identifiers end
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def _merged(self, plain: list[bytes]) -> np.ndarray:
+        joined = b" ".join(plain).decode("latin-1").translate(self._letters)
+        return np.array(self.merges.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _learn(self, plain: list[bytes], odd: list[bytes]) -> None:
+        found, sizes = [], []
+        if plain:
+            ids = np.concatenate([self._merged(plain[at : at + CALL]) for at in range(0, len(plain), CALL)])
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            assert len(stops) == len(plain), "a part is not one word of the vocabulary"
+            found.append(ids)
+            sizes.append(np.diff(stops, prepend=0))
+        if odd:
+            words = [word.removesuffix(b" ").decode() for word in odd]
+            own = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+            found += [np.array(ids, dtype="<u4") for ids in own]
+            sizes.append(np.array([len(ids) for ids in own], dtype=np.int64))
+        for place, part in enumerate(plain + odd, len(self.places)):
+            self.places[part] = place
+        self.stops = np.concatenate([self.stops, len(self.ids) + np.cumsum(np.concatenate(sizes))])
+        self.ids = np.concatenate([self.ids, *found])
+
+    def _places_of(self, parts: list[bytes], odd: np.ndarray) -> np.ndarray:
+        new = [i for i, part in enumerate(parts) if part not in self.places]
+        if len(self.places) + len(new) > REMEMBERED:
+            self._forget()
+            new = [i for i, part in enumerate(parts) if part not in self.places]
+        if new:
+            self._learn([parts[i] for i in new if not odd[i]], [parts[i] for i in new if odd[i]])
+        return np.fromiter(map(self.places.__getitem__, parts), np.int64, len(parts))
+
+    def _ids_of(self, words: pa.Array) -> pa.Array:
+        """The identifiers of each of some different words."""
+        _, ends, values = words.buffers()
+        offsets = np.frombuffer(ends, dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(values, dtype=np.uint8)[: offsets[-1]]
+        begins = offsets[:-1]
+        second = np.zeros(len(data), dtype=bool)
+        second[1:] = _ACCENTED[data[1:]] & (data[:-1] == 0xC3)
+        second[begins] = False
+        accented = np.flatnonzero(second)
+        letter = _LETTER[data]
+        letter[accented] = letter[accented - 1] = True
+        mark = _MARK[data]
+        back = np.zeros(len(data), dtype=bool)  # to letters after punctuation
+        back[1:] = letter[1:] & mark[:-1]
+        back[begins] = False
+        strange = np.flatnonzero(back | ~(letter | mark | (data == 0x20)))
+        odd = np.zeros(len(words), dtype=bool)
+        odd[np.searchsorted(offsets, strange, "right") - 1] = True
+
+        lower = LOWER[data]
+        capital = accented[data[accented] < 0x9F]
+        lower[capital] += 0x20
+        raw = np.repeat(odd, np.diff(offsets))
+        lower[raw] = data[raw]
+        cuts = np.empty(2 * len(words) + 1, dtype=np.int64)
+        cuts[::2] = offsets
+        cuts[1::2] = begins + np.where(odd, 0, np.add.reduceat(letter, begins, dtype=np.int64))
+        coded = _binaries(cuts, lower).dictionary_encode()
+        parts = coded.indices.to_numpy()
+        odd_parts = np.zeros(len(coded.dictionary), dtype=bool)
+        odd_parts[parts[1::2][odd]] = True
+        places = self._places_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), odd_parts)[parts]
+        sizes = np.diff(self.stops, prepend=0)[places]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(ends[-1]) + np.repeat(self.stops[places] - ends[1:], sizes)
+        return pa.LargeListArray.from_arrays(pa.array(ends[::2]), pa.array(self.ids[at]))
+
+    def arrays(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(identifiers, where those of each row begin and the last one's end) of
+        rows of UTF-8 bytes."""
+        if not len(data):
+            return np.zeros(0, dtype="<u4"), np.zeros(len(offsets), dtype=np.int64)
+        data = _BLANKS[data]
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        cut[1:] = data == 0x20
+        cut[offsets] = True
+        cuts = np.flatnonzero(cut)
+        coded = _binaries(cuts, data).dictionary_encode()
+        found = self._ids_of(coded.dictionary).take(coded.indices)
+        ends = found.offsets.to_numpy()
+        return found.values.to_numpy(), ends[np.searchsorted(cuts, offsets)]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        words = set().union(*cut)
-        new = {w for w in words if w not in self.words}
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words = {"": b""}
-            new = words - {""}
-        if new:
-            self._learn(new)
-        find = self.words.__getitem__
-        for own in cut:
-            yield b"".join(map(find, own))
+        for _, offsets, data in slices(pa.array(texts, pa.string()), SLICE_BYTES):
+            ids, ends = self.arrays(offsets, data)
+            for begin, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                yield ids[begin:end].tobytes()
 
 
 _known: dict[str, WordIds] = {}
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches together that make a slice: larger slices repeat more of their words."""
+    own, size = [], 0
+    for batch in batches:
+        if own and size + batch.nbytes > SLICE_BYTES:
+            yield pa.concat_batches(own)
+            own, size = [], 0
+        own.append(batch)
+        size += batch.nbytes
+    if own:
+        yield pa.concat_batches(own)
+
+
 def _pieces(vocabulary: str, capacity: int):
     end = struct.pack("<I", END_ID)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if vocabulary not in _known:
             _known[vocabulary] = WordIds(vocabulary)
-        for batch in batches:
+        for kept, offsets, data in batch_slices(_gathered(batches), "text", ["doc_id"]):
+            ids, ends = _known[vocabulary].arrays(offsets, data)
             rows, piece, start, length, crc = [], [], [], [], []
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for row, ids in enumerate(_known[vocabulary].encode(texts)):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
+            for row, (begin, stop) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+                # the end token comes after the last identifier
+                for k, at in enumerate(range(begin, stop + 1, capacity)):
+                    last = at + capacity > stop
+                    code = zlib.crc32(ids[at : min(at + capacity, stop)])
                     rows.append(row)
                     piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
+                    start.append(at - begin)
+                    length.append(stop + 1 - at if last else capacity)
+                    crc.append(zlib.crc32(end, code) if last else code)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(rows, pa.int64())),
+                    kept.column(0).take(pa.array(rows, pa.int64())),
                     pa.array(piece, pa.int32()),
                     *[pa.array(c, pa.int64()) for c in (start, length, crc)],
                 ],
