@@ -15,7 +15,7 @@ from storelens.operators.cleaning import preprocess_strings
 from storelens.operators.joins import keys_in_both, keys_only_left, match_stats, value_counts
 from storelens.operators.reshape import size_columns, unpivot_sizes
 from storelens.plans import order_sheets as o
-from storelens.session import shared_dir, stage
+from storelens.session import shared_dir, stage, stored_inside
 from storelens.sources.files import read_text_csvs
 
 # Invented sales representatives by file prefix.
@@ -70,11 +70,19 @@ def name_pieces(t: RetailTables) -> DataFrame:
 
 
 def order_import(t: RetailTables) -> DataFrame:
-    rows = groups(t)
-    found = o.order_items_enriched(o.order_items(rows, sizes(t)), lookup(t))
+    """Tables stored in between are deleted as soon as the next one is there."""
+    with stored_inside() as cleaned:
+        table = stage(sheet(t), "sheet")
+    with stored_inside() as carried:
+        rows = o.order_groups(table)
+    cleaned.remove()
+    named = sizes(t)
+    found = o.order_items_enriched(o.order_items(rows, named, packed=True), lookup(t), named)
     # what items were found by is not in the table
     stored = stage(found.drop("parent", "size", "barcode"), "order_items")
-    return o.order_import(stored, rows, t.contacts, AS_OF, REPS)
+    imported = o.order_import(stored, rows, t.contacts, AS_OF, REPS)
+    carried.remove()
+    return imported
 
 
 def sheet_folder(t: RetailTables) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.casts import number
@@ -74,3 +75,61 @@ def unpivot_sizes(
         .withColumn("qty", F.col("amount").try_cast("bigint"))
         .drop("amount")
     )
+
+
+def pack_sizes(
+    sheet: DataFrame, keys: list[str], sizes: dict[str, str], parent: str = "parent_sku"
+) -> DataFrame:
+    """The rows of ``unpivot_sizes`` before they are brought to long form: keys, parent,
+    ``amounts`` and, where files have headers of their own, ``places``, both in the
+    order of ``sizes``.
+
+    One row moves where the long form has one per ordered size. Rows without any text
+    under a size are left out, as most of a printed order form are.
+    """
+    places, own = [], []
+    if "header" in sheet.columns:
+        own = [F.array_intersect("header", F.array(*map(F.lit, sizes))).alias("__own")]
+        places = [(F.array_position("__own", F.lit(c)) - 1).cast("int") for c in sizes]
+    filled = reduce(Column.__or__, [F.col(f"`{c}`") != "" for c in sizes])
+    needed = dict.fromkeys([*keys, parent, *sizes])
+    return (
+        sheet.filter((F.col(parent) != "") & filled)
+        .select(*[F.col(f"`{c}`") for c in needed], *own)
+        .select(
+            *[F.col(f"`{k}`") for k in keys],
+            F.col(f"`{parent}`").alias("parent"),
+            F.array(*[number(F.col(f"`{c}`")) for c in sizes]).alias("amounts"),
+            *([F.array(*places).alias("places")] if own else []),
+        )
+    )
+
+
+def unpack_sizes(packed: DataFrame, sizes: dict[str, str], found: list[str], first: list[str]) -> DataFrame:
+    """Long form of packed rows that met what their sizes are found as.
+
+    ``answers`` maps sizes to structs of the columns ``found``; what has no answer has no
+    row. ``leads`` says whether nothing of the same packed row comes before a row by the
+    columns ``first``; rows that lack one of these don't count and don't lead.
+    """
+    others = [c for c in packed.columns if c not in ("amounts", "places", "answers")]
+    cells, ranks = [], []
+    for i, size in enumerate(sizes.values()):
+        amount, answer = F.col("amounts")[i], F.try_element_at("answers", F.lit(size))
+        values = {
+            "size_pos": F.col("places")[i] if "places" in packed.columns else F.lit(i),
+            "size": F.lit(size),
+            "qty": amount.try_cast("bigint"),
+            **{c: answer[c] for c in found},
+        }
+        there = (amount != 0) & answer.isNotNull()
+        known = reduce(Column.__and__, [values[c].isNotNull() for c in first])
+        cells.append(F.when(there, F.struct(*[v.alias(c) for c, v in values.items()])))
+        ranks.append(F.when(there & known, F.struct(*[values[c].alias(c) for c in first])))
+    least = F.array_min(F.array(*ranks))
+    return (
+        packed.select(*others, least.alias("__least"), F.inline(F.array(*cells)))
+        .filter(F.col("size").isNotNull())
+        .withColumn("leads", F.coalesce(F.struct(*first) == F.col("__least"), F.lit(False)))
+        .drop("__least")
+    )
