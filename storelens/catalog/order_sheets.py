@@ -85,6 +85,12 @@ def order_import(t: RetailTables) -> DataFrame:
     return imported
 
 
+def import_files(t: RetailTables) -> DataFrame:
+    with stored_inside() as passing:
+        rows = order_import(t)
+    return o.import_files(rows, passing=passing)
+
+
 def sheet_folder(t: RetailTables) -> DataFrame:
     """Sheets with their own size columns, in different orders and two encodings,
     written to one folder, read back and brought to long form."""
@@ -343,7 +349,7 @@ def register(c: Catalog) -> None:
     headed = ", ".join(f'{column} as "{header}"' for column, header in o.IMPORT_COLUMNS.items())
     c.add(
         "import_files",
-        lambda t: o.import_files(order_import(t)),
+        import_files,
         f"select file, {headed} from import_rows",
     )
     c.add(

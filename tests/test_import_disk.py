@@ -118,7 +118,7 @@ def test_noted_folders_are_removed(spark):
     assert not os.path.exists(paths[0]) and two.columns == ["id"]
 
 
-@pytest.mark.parametrize("name, left", [("order_import", {"order_items", "order-heads"})])
+@pytest.mark.parametrize("name, left", [("order_import", {"order_items", "order-heads"}), ("import_files", {"import-rows"})])
 def test_what_the_result_does_not_read_is_gone(spark, name, left):
     base = os.path.dirname(shared_dir(spark, "any"))
     before = set(os.listdir(base))
@@ -130,3 +130,17 @@ def test_what_the_result_does_not_read_is_gone(spark, name, left):
 def test_sheets_are_built_without_prices(spark, tables):
     plan = plan_of(type(tables)(spark, SMALL).order_sheet)
     assert "l_linenumber" in plan and "l_extendedprice" not in plan
+
+
+def test_import_files_keep_details_and_nulls(spark):
+    names = ["file", *o.ITEM_PLACE, *o.IMPORT_COLUMNS]
+    rows = [("f", i, 0, 0, *[None if i == 1 else "" if i == 2 else "x"] * 4, f"s{i}", i, "e", "", "" if i < 4 else "n") for i in range(1, 6)]
+    rows += [("f", 6, 0, 0, "", None, "", "", None, None, None, "", "")]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {'int' if n in (*o.ITEM_PLACE, 'quantity') else 'string'}" for n in names))
+    found = o.import_files(df)
+    assert found.columns == ["file", *o.IMPORT_COLUMNS.values()]
+    assert [tuple(r) for r in found.collect()] == [(r[0], *r[4:]) for r in rows]
+    # details are one value while rows are dealt
+    moved = next(line for line in plan_of(found).splitlines() if "Exchange rangepartitioning" in line)
+    below = plan_of(found).split(moved)[1].splitlines()[1]
+    assert "details" in below
